@@ -41,7 +41,7 @@ def lexicon_tokens(c: Column | str) -> Column:
 
 def extract_ints(c: Column | str) -> Column:
     """All digit runs as bigints."""
-    return F.transform(F.regexp_extract_all(col(c), F.lit(r"([0-9]+)"), F.lit(1)), lambda x: x.cast("bigint"))
+    return F.transform(F.regexp_extract_all(col(c), F.lit(r"([0-9]+)"), F.lit(1)), lambda x: x.try_cast("bigint"))
 
 
 def to_utf8(c: Column | str) -> Column:

@@ -54,10 +54,9 @@ def quantiles(df: DataFrame, value: str, probs: dict[str, float], by: list[str]
     cum = running(hist, by, [F.col(value).asc()], {"_cum": F.col("_n")})
     if by:
         cum = cum.join(hist.groupBy(*by).agg(F.sum("_n").alias("_all")), by)
-        grouped = cum.groupBy(*by)
     else:
-        cum = cum.crossJoin(hist.agg(F.sum("_n").alias("_all")))  # one-row side
-        grouped = cum.groupBy()
+        cum = cum.withColumn("_all", hist.agg(F.sum("_n")).scalar())
+    grouped = cum.groupBy(*by)
     picks = []
     for name, p in probs.items():
         at = (F.col("_all") - 1) * F.lit(float(p))
@@ -77,3 +76,15 @@ def quantiles(df: DataFrame, value: str, probs: dict[str, float], by: list[str]
 def top_rows(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     """First ``n`` rows: each task keeps its own n best, then those are merged."""
     return df.orderBy(*order).limit(n)
+
+
+def summarize(df: DataFrame, cols: list[str]) -> DataFrame:
+    """One row per column: n, min, quartiles, mean, max."""
+    long = df.select(
+        F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in cols])).alias("r")
+    ).select("r.name", "r.value")
+    q = quantiles(long, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, by=["name"])
+    base = long.groupBy("name").agg(
+        F.count("value").alias("n"), F.min("value").alias("min"), F.avg("value").alias("mean"), F.max("value").alias("max")
+    )
+    return base.join(q, "name").select("name", "n", "min", "q1", "median", "mean", "q3", "max")

@@ -1 +1,6 @@
 """Registered queries over the given tables."""
+
+from . import facts, text
+from .registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
