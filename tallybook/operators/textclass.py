@@ -123,28 +123,24 @@ def gaussian_model(train: DataFrame, dims: int, smoothing: float = 1e-9) -> Data
     per = train.groupBy("label").agg(
         F.count("*").alias("n"), F.array(*[F.avg(c) for c in x]).alias("mu"), F.array(*[F.var_pop(c) for c in x]).alias("var")
     )
-    floor = train.select(F.array_max(F.array(*[F.var_pop(c) for c in x])) * smoothing).scalar()
-    n = train.select(F.count("*")).scalar()
+    # a single row of scalars: class and dimension counts do not grow with the data
+    floor, n = train.agg(F.array_max(F.array(*[F.var_pop(c) for c in x])) * smoothing, F.count("*")).first()
     return per.select(
         "label", F.log(F.col("n") / n).alias("prior"), "mu", F.transform("var", lambda v: v + floor).alias("var")
     )
 
 
 def gaussian_predict(df: DataFrame, model: DataFrame) -> DataFrame:
-    """Adds ``pred``. The model (classes x dimensions numbers) enters as a scalar, so rows are not joined."""
-    table = model.select(F.sort_array(F.collect_list(F.struct("label", "prior", "mu", "var")))).scalar()
-
-    def score(m):
+    """Adds ``pred``. The model (classes x dimensions numbers) enters as literals, so rows are not joined."""
+    pred = None
+    for m in model.orderBy("label").collect():
         terms = F.zip_with(
-            F.zip_with(F.col("embedding"), m["mu"], lambda a, b: F.pow(a.cast("double") - b, F.lit(2.0))),
-            m["var"], lambda d, v: -F.log(v * 6.283185307179586) / 2 - d / (v * 2),
+            F.zip_with(F.col("embedding"), F.lit(m["mu"]), lambda a, b: F.pow(a.cast("double") - b, F.lit(2.0))),
+            F.lit(m["var"]), lambda d, v: -F.log(v * 6.283185307179586) / 2 - d / (v * 2),
         )
-        return m["prior"] + F.aggregate(terms, F.lit(0.0), lambda s, x: s + x)
-
-    scored = df.withColumn("_m", table).withColumn(
-        "_s", F.transform("_m", lambda m: F.struct(score(m).alias("score"), (-m["label"]).alias("neg_label")))
-    )
-    return scored.withColumn("pred", -F.array_max("_s")["neg_label"]).drop("_m", "_s")
+        s = F.struct((F.aggregate(terms, F.lit(0.0), lambda a, x: a + x) + m["prior"]).alias("s"), F.lit(-m["label"]).alias("c"))
+        pred = s if pred is None else F.greatest(pred, s)
+    return df.withColumn("pred", -pred["c"])
 
 
 def logreg(train: DataFrame, features: str = "features"):
