@@ -1,6 +1,6 @@
 """Registered queries over the given tables."""
 
-from . import facts, series, text
+from . import facts, graphs, series, text
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
