@@ -146,11 +146,11 @@ def node_vectors(t):
 
 @query("predict_rating", f"""WITH {RATINGS},
 e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
-p AS (SELECT DISTINCT o_custkey AS user, l_partkey AS movie FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+p AS (SELECT DISTINCT o_custkey AS usr, l_partkey AS movie FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 n AS (SELECT count(*) AS n FROM e),
-s AS (SELECT user, movie, r, list_cosine_similarity(a.v, b.v) AS sim FROM p, n, range(1, 6) x(r)
-  JOIN e a ON a.vec_id = user % n JOIN e b ON b.vec_id = (movie + 7 * r) % n)
-SELECT CAST(user AS VARCHAR) AS user, CAST(movie AS VARCHAR) AS movie, CAST(arg_max(r, round(sim, 9) * 100 - r * 1e-9) AS BIGINT) AS predicted FROM s GROUP BY ALL""")
+s AS (SELECT usr, movie, r, list_cosine_similarity(a.v, b.v) AS sim FROM p, n, range(1, 6) x(r)
+  JOIN e a ON a.vec_id = usr % n JOIN e b ON b.vec_id = (movie + 7 * r) % n)
+SELECT CAST(usr AS VARCHAR) AS user, CAST(movie AS VARCHAR) AS movie, CAST(arg_max(r, round(sim, 9) * 100 - r * 1e-9) AS BIGINT) AS predicted FROM s GROUP BY ALL""")
 def predict_rating(t):
     """Nearest rating node with vectors taken from the embedding table."""
     n = t.embeddings.count()
