@@ -2,19 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import extract_ints, round_rating, strip_edge_punct, tokens, words
 
+
+
+def stem() -> Column:
+    """Name of the scanned file, or of its folder where Spark wrote the file set as ``<name>/part-...``."""
+    name = F.col("_metadata.file_name")
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)
+    return F.when(name.startswith("part-"), folder).otherwise(name)
+
+
+def _scan(spark: SparkSession):
+    """Readers of folders whose names carry meaning: no partition columns are guessed from them."""
+    return spark.read.option("recursiveFileLookup", True)
+
+
 # ---- delimited tables -----------------------------------------------------------------------------
 
 
 def _csv(spark: SparkSession, path: str, schema: str, sep: str, header: bool = False, mode: str = "FAILFAST", **options) -> DataFrame:
-    """``mode='PERMISSIVE'`` keeps malformed rows in ``_corrupt_record``; add that column to the schema by ``corrupt=True``."""
+    """``mode='PERMISSIVE'`` keeps malformed rows, their text goes to ``_corrupt_record``."""
     if mode == "PERMISSIVE":
         schema += ", _corrupt_record string"
-    # enforceSchema must be off for header checks, so that a reordered file fails instead of shifting columns
     return spark.read.schema(schema).options(sep=sep, header=header, mode=mode, **options).csv(path)
 
 
@@ -23,7 +36,7 @@ def read_plays(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFr
     return _csv(spark, path, "user_id long, item_id long, plays long", " ", mode=mode)
 
 
-def read_dim(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
+def read_dim(spark: SparkSession, path: str) -> DataFrame:
     """Tab-delimited id, name. Quotes are plain characters; further fields are ignored."""
     line = spark.read.text(path).select(F.split("value", "\t").alias("f"))
     return line.select(F.col("f")[0].cast("bigint").alias("item_id"), F.col("f")[1].alias("name"))
@@ -45,11 +58,10 @@ def read_features(spark: SparkSession, folder: str, n_features: int) -> DataFram
     Returns (row_id, x, y, split, horizon); split and horizon come from the file name.
     """
     cols = ", ".join(f"x{i} double" for i in range(n_features))
-    raw = spark.read.schema(f"row_id long, {cols}, Yi double").options(header=True, mode="FAILFAST").csv(f"{folder}/*.csv")
-    name = F.col("_metadata.file_name")
+    raw = _scan(spark).schema(f"row_id long, {cols}, Yi double").options(header=True, mode="FAILFAST").csv(folder)
     return raw.select(
         "row_id", F.array(*[f"x{i}" for i in range(n_features)]).alias("x"), F.col("Yi").alias("y"),
-        F.regexp_extract(name, r"^([a-z0-9]+)_", 1).alias("split"), F.regexp_extract(name, r"_(\d+)\.csv$", 1).cast("int").alias("horizon"),
+        F.regexp_extract(stem(), r"^([a-z0-9]+)_", 1).alias("split"), F.regexp_extract(stem(), r"_(\d+)", 1).cast("int").alias("horizon"),
     )
 
 
@@ -90,10 +102,9 @@ def read_labeled_docs(spark: SparkSession, folder: str) -> DataFrame:
 
     doc_id is unique, not consecutive.
     """
-    name = F.col("_metadata.file_name")
-    return spark.read.text(folder).select(
-        F.monotonically_increasing_id().alias("doc_id"), F.regexp_extract(name, r"^[a-z]+-([a-z]+)", 1).alias("label"),
-        F.regexp_extract(name, r"^([a-z]+)-", 1).alias("split"), tokens("value", sep=None, min_len=3).alias("tokens"),
+    return _scan(spark).text(folder).select(
+        F.monotonically_increasing_id().alias("doc_id"), F.regexp_extract(stem(), r"^[a-z]+-([a-z]+)", 1).alias("label"),
+        F.regexp_extract(stem(), r"^([a-z]+)-", 1).alias("split"), tokens("value", sep=None, min_len=3).alias("tokens"),
     )
 
 
@@ -109,9 +120,14 @@ def read_query_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def number_lines(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """Lines with their 0-based number. Offsets of the scan partitions are added up on the few partition totals."""
-    indexed = spark.read.text(path).rdd.zipWithIndex().map(lambda r: (r[1], r[0][0]))
-    return spark.createDataFrame(indexed, f"{name} long, value string")
+    """Lines with their 0-based number, over all files of ``path`` in name order."""
+    from ..operators.ordering import rank_within
+
+    raw = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_i")
+    )
+    ranked = rank_within(raw, [], [F.asc("_f"), F.asc("_b"), F.asc("_i")], name)
+    return ranked.select((F.col(name) - 1).alias(name), "value")
 
 
 def read_corpus(spark: SparkSession, folder: str) -> DataFrame:
@@ -119,11 +135,17 @@ def read_corpus(spark: SparkSession, folder: str) -> DataFrame:
 
     Each line is lower-cased and loses punctuation at its ends before it is split.
     """
-    raw = spark.read.option("recursiveFileLookup", True).option("wholetext", True).text(folder)
-    lines = F.transform(F.split("value", r"\r?\n"), lambda x: strip_edge_punct(F.trim(F.lower(x))))
-    toks = F.filter(F.flatten(F.transform(lines, lambda x: F.split(x, r"\s+"))), lambda w: w != "")
+    raw = _scan(spark).option("wholetext", True).text(folder)
     path = F.col("_metadata.file_path")
-    return raw.select(F.regexp_extract(path, r"([^/]+)/[^/]+$", 1).alias("category"), F.col("_metadata.file_name").alias("doc"), toks.alias("tokens"))
+    return raw.select(
+        F.regexp_extract(path, r"([^/]+)/[^/]+$", 1).alias("category"), F.col("_metadata.file_name").alias("doc"),
+        corpus_tokens("value").alias("tokens"),
+    )
+
+
+def corpus_tokens(c: str) -> Column:
+    lines = F.transform(F.split(c, r"\r?\n"), lambda x: strip_edge_punct(F.regexp_replace(F.lower(x), r"^\s+|\s+$", "")))
+    return F.filter(F.flatten(F.transform(lines, lambda x: F.split(x, r"\s+"))), lambda w: w != "")
 
 
 def read_image_tags(spark: SparkSession, path: str) -> DataFrame:
@@ -144,8 +166,8 @@ def read_patches(spark: SparkSession, folder: str, tags: DataFrame) -> DataFrame
 def read_movie_dims(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """``movies``, ``movie_directors``, ``movie_actors``, ``movie_genres``: header, whitespace-split, first two tokens."""
     out = {}
-    for kind, stem in (("movie", "movies"), ("director", "movie_directors"), ("actor", "movie_actors"), ("genre", "movie_genres")):
-        raw = spark.read.option("header", True).schema("value string").option("sep", "\u0001").csv(f"{folder}/{stem}.dat")
+    for kind, base in (("movie", "movies"), ("director", "movie_directors"), ("actor", "movie_actors"), ("genre", "movie_genres")):
+        raw = spark.read.schema("value string").options(header=True, sep="\u0001", quote="").csv(f"{folder}/{base}.dat")
         f = words("value")
         out[kind] = raw.select(f[0].alias("movie"), f[1].alias("name"))
     return out
@@ -183,8 +205,9 @@ def read_vertex_attrs(spark: SparkSession, path: str, n_attrs: int) -> DataFrame
 
 def read_vertex_rows(spark: SparkSession, path: str) -> DataFrame:
     """Header CSV without ids: the row number (0-based) is the vertex id."""
-    lines = number_lines(spark, path, "line").where("line > 0")
-    return lines.select((F.col("line") - 1).alias("id"), F.split("value", ",").cast("array<double>").alias("attrs"))
+    lines = number_lines(spark, path, "line")
+    attrs = F.when(F.col("line") > 0, F.split("value", ",").cast("array<double>"))
+    return lines.select((F.col("line") - 1).alias("id"), attrs.alias("attrs")).where("id >= 0")
 
 
 def read_communities(spark: SparkSession, path: str) -> DataFrame:
@@ -196,8 +219,8 @@ def read_communities(spark: SparkSession, path: str) -> DataFrame:
 
 def read_snapshots(spark: SparkSession, folder: str) -> DataFrame:
     """Numbered edge-list files: (snap, src, dst), number from the file name."""
-    raw = spark.read.option("recursiveFileLookup", True).text(folder)
-    n = F.regexp_extract(F.col("_metadata.file_path"), r"([0-9]+)[^/0-9]*(?:/[^/]*)?$", 1).cast("bigint")
+    raw = _scan(spark).text(folder)
+    n = F.regexp_extract(stem(), r"([0-9]+)", 1).cast("bigint")
     pair = extract_ints("value")
     return raw.select(n.alias("snap"), pair[0].alias("src"), pair[1].alias("dst")).where("src IS NOT NULL")
 

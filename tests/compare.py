@@ -56,7 +56,7 @@ def main():
 
     folder = f"/root/testdata/sf{sys.argv[1]}"
     spark = get_spark(master="local[8]", shuffle_partitions=8)
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     con = connect(folder)
     qs, oracle, bad = E.queries(), E.oracle_sql(), 0
     for name in sys.argv[2:] or qs:
@@ -64,7 +64,7 @@ def main():
         try:
             msg = check(spark, con, folder, name, qs[name], oracle.get(name))
         except Exception as e:
-            msg = f"{type(e).__name__}: {str(e)[:1500]}"
+            msg = f"{type(e).__name__}: {str(e).splitlines()[0][:300]}"
         bad += bool(msg)
         kind = "O" if name in oracle else "R"
         print(f"{'FAIL' if msg else 'ok  '} {kind} {time.time() - t0:6.1f}s {name} {msg}", flush=True)
