@@ -11,6 +11,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.hashing import draw, unit
 from ..functions.vectors import dot, norm2, unit_vector
@@ -32,7 +33,7 @@ def mean_similarity(vec: Column, size: Column) -> Column:
 
 
 def _vec_sum(dims: int) -> Column:
-    return F.array(*[F.sum(F.col("vec")[i]) for i in range(dims)])
+    return F.expr("array(" + ", ".join(f"sum(vec[{i}])" for i in range(dims)) + ")")
 
 
 def _dims(verts: DataFrame) -> int:
@@ -67,36 +68,74 @@ def degrees(edges: DataFrame) -> DataFrame:
     return ends.groupBy(F.col("src").alias("id")).agg(F.sum("weight").alias("k"))
 
 
+class Level:
+    """What stays fixed while communities change: both edge directions, vertices with degree, total weight."""
+
+    def __init__(self, edges: DataFrame, verts: DataFrame):
+        self.dims = _dims(verts)
+        self.m = edges.agg(F.sum("weight")).first()[0] or 0.0
+        e = edges.where("src <> dst").select("src", "dst", "weight")
+        self.both = cut(e.unionByName(swapped(e)).withColumnRenamed("src", "id"))
+        loops = edges.where("src = dst").groupBy(F.col("src").alias("id")).agg(F.sum("weight").alias("loop"))
+        self.verts = cut(
+            verts.join(degrees(edges), "id", "left").join(loops, "id", "left").fillna(0.0, ["k", "loop"])
+            .select("id", "k", "loop", "size", "vec")
+        )
+
+    def ties(self, comm: DataFrame) -> DataFrame:
+        """(id, comm, w): weight between a vertex and each community next to it."""
+        return self.both.join(comm.select(F.col("id").alias("dst"), "comm"), "dst").groupBy("id", "comm").agg(F.sum("weight").alias("w"))
+
+    def stats(self, comm: DataFrame, ties: DataFrame) -> DataFrame:
+        """One row per community: degree, inner weight, size, members, attribute sum."""
+        inner = ties.join(comm, ["id", "comm"]).groupBy("comm").agg((F.sum("w") / 2).alias("inner"))
+        own = self.verts.join(comm, "id").groupBy("comm").agg(
+            F.sum("k").alias("deg"), F.sum("loop").alias("loops"), F.sum("size").alias("csize"), F.count("*").alias("members"),
+            _vec_sum(self.dims).alias("cvec"),
+        )
+        return own.join(inner, "comm", "left").select(
+            "comm", "deg", "csize", "members", "cvec", (F.coalesce("inner", F.lit(0.0)) + F.col("loops")).alias("inside")
+        )
+
+    def objective(self, stats: DataFrame, alpha: float) -> tuple[float, int]:
+        """alpha * modularity + (1 - alpha) * mean similarity / C, and C."""
+        q, s, n = stats.agg(
+            F.sum(F.col("inside") / self.m - F.pow(F.col("deg") / (2 * self.m), 2)),
+            F.avg(mean_similarity(F.col("cvec"), F.col("csize"))), F.count("*"),
+        ).first()
+        return alpha * q + (1 - alpha) * s / n, n
+
+    def gains(self, comm: DataFrame, ties: DataFrame, stats: DataFrame, n: int, alpha: float) -> DataFrame:
+        """(id, cur, comm, dq, ds, gain) per vertex and neighbouring community."""
+        m = self.m
+        me = self.verts.join(comm.withColumnRenamed("comm", "cur"), "id")
+        home = stats.select(F.col("comm").alias("cur"), F.col("deg").alias("deg_cur"), F.col("members").alias("members_cur"))
+        mine = Window.partitionBy("id")
+        c = (
+            ties.join(me, "id")
+            .withColumn("w_cur", F.coalesce(F.max(F.when(F.col("comm") == F.col("cur"), F.col("w"))).over(mine), F.lit(0.0)))
+            .where("comm <> cur").join(home, "cur").join(stats.select("comm", "deg", "csize", "cvec"), "comm")
+        )
+        dq = (F.col("w") - F.col("w_cur")) / m - F.col("k") * (F.col("deg") - F.col("deg_cur") + F.col("k")) / (2 * m * m)
+        size = F.col("csize") + F.col("size")
+        merged = norm2("cvec") + 2 * dot("cvec", "vec") + norm2("vec")
+        ds = F.when(size > 1, (merged - size) / (size * (size - 1))).otherwise(0.0) - mean_similarity(F.col("cvec"), F.col("csize"))
+        after = F.lit(n) - F.when(F.col("members_cur") == 1, 1).otherwise(0)
+        out = c.select("id", "cur", "comm", dq.alias("dq"), ds.alias("ds"), after.alias("after"))
+        gain = F.col("dq") if alpha == 1 else alpha * F.col("dq") + (1 - alpha) * F.col("ds") / F.pow("after", 2)
+        return out.withColumn("gain", gain).drop("after")
+
+
 def move_gain(edges: DataFrame, verts: DataFrame, comm: DataFrame, alpha: float) -> DataFrame:
     """(id, cur, comm, dq, ds, gain) of moving a vertex to each neighbouring community.
 
     gain = alpha * change of modularity + (1 - alpha) * change of the target's similarity / C^2, where C is
     the number of communities after the move. Both changes are closed forms of community sums.
     """
-    m = edges.agg(F.sum("weight")).scalar()
-    dims = _dims(verts)
-    base = verts.join(comm, "id").join(degrees(edges), "id", "left").fillna(0.0, ["k"])
-    stats = base.groupBy("comm").agg(
-        F.sum("k").alias("deg"), F.sum("size").alias("csize"), F.count("*").alias("members"), _vec_sum(dims).alias("cvec")
-    )
-    total = stats.select(F.count("*")).scalar()
-    both = edges.where("src <> dst").select("src", "dst", "weight")
-    both = both.unionByName(swapped(both)).withColumnRenamed("src", "id")
-    to = both.join(comm.select(F.col("id").alias("dst"), "comm"), "dst").groupBy("id", "comm").agg(F.sum("weight").alias("w"))
-    me = base.select("id", F.col("comm").alias("cur"), "k", "size", "vec")
-    home = to.withColumnRenamed("comm", "cur").withColumnRenamed("w", "w_cur")
-    cur = stats.select(F.col("comm").alias("cur"), F.col("deg").alias("deg_cur"), F.col("members").alias("members_cur"))
-    c = (
-        to.join(me, "id").where("comm <> cur").join(home, ["id", "cur"], "left").fillna(0.0, ["w_cur"])
-        .join(cur, "cur").join(stats.select("comm", "deg", "csize", "cvec"), "comm")
-    )
-    dq = (F.col("w") - F.col("w_cur")) / m - F.col("k") * (F.col("deg") - F.col("deg_cur") + F.col("k")) / (2 * m * m)
-    size = F.col("csize") + F.col("size")
-    merged = norm2("cvec") + 2 * dot("cvec", "vec") + norm2("vec")
-    ds = F.when(size > 1, (merged - size) / (size * (size - 1))).otherwise(0.0) - mean_similarity(F.col("cvec"), F.col("csize"))
-    after = total - F.when(F.col("members_cur") == 1, 1).otherwise(0)
-    out = c.select("id", "cur", "comm", dq.alias("dq"), ds.alias("ds"), after.alias("after"))
-    return out.withColumn("gain", alpha * F.col("dq") + (1 - alpha) * F.col("ds") / F.pow("after", 2)).drop("after")
+    level = Level(edges, verts)
+    ties = cut(level.ties(comm))
+    stats = cut(level.stats(comm, ties))
+    return level.gains(comm, ties, stats, stats.count(), alpha)
 
 
 def best_moves(gains: DataFrame, down: bool | None = None) -> DataFrame:
@@ -117,33 +156,26 @@ def apply_moves(comm: DataFrame, moves: DataFrame) -> DataFrame:
     )
 
 
-def objective(edges: DataFrame, verts: DataFrame, comm: DataFrame, alpha: float) -> float:
-    """alpha * modularity + (1 - alpha) * mean community similarity / C."""
-    q = modularity(edges, comm).first()[0] or 0.0
-    s = community_similarity(verts, comm).agg(F.avg("similarity"), F.count("*")).first()
-    return alpha * q + (1 - alpha) * s[0] / s[1]
-
-
 def local_move(edges: DataFrame, verts: DataFrame, comm: DataFrame, alpha: float, passes: int = 15) -> DataFrame:
     """Rounds of simultaneous moves, alternating direction, until two rounds change nothing.
 
     Simultaneous moves may overshoot, so the best assignment seen by the objective is returned.
     """
-    best, score, still = comm, objective(edges, verts, comm, alpha), 0
-    for r in range(2 * passes):
-        new = cut(apply_moves(comm, best_moves(move_gain(edges, verts, comm, alpha), down=r % 2 == 0)))
-        changed = churn(comm, new).first()[0] or 0
+    level, best, still = Level(edges, verts), None, 0
+    for r in range(2 * passes + 1):
+        ties = cut(level.ties(comm))
+        stats = cut(level.stats(comm, ties))
+        score, n = level.objective(stats, alpha)
+        if best is None or score > best[0]:
+            best = (score, comm)
+        if r == 2 * passes:
+            break
+        new = cut(apply_moves(comm, best_moves(level.gains(comm, ties, stats, n, alpha), down=r % 2 == 0)))
+        still = 0 if churn(comm, new).first()[0] else still + 1
+        if still == 2:
+            break
         comm = new
-        if changed:
-            still = 0
-            s = objective(edges, verts, comm, alpha)
-            if s > score:
-                best, score = comm, s
-        else:
-            still += 1
-            if still == 2:
-                break
-    return best
+    return best[1]
 
 
 def relabel(comm: DataFrame) -> DataFrame:
