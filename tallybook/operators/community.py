@@ -249,6 +249,7 @@ def cascade(
             .join(reached.select("trial", "id"), ["trial", "id"], "left_anti")
         )
         reached = cut(reached.unionByName(hit.select("trial", "id", F.lit(k).alias("step"))))
+    ways.unpersist()
     per = reached.groupBy("trial", "step").agg(F.count("*").alias("n"))
     # every reached step counts for itself and all later ones; steps and trials are few
     later = per.select("trial", "n", F.explode(F.sequence(F.col("step"), F.lit(steps + 1))).alias("step"))

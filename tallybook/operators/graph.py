@@ -159,6 +159,7 @@ def pagerank(edges: DataFrame, by: str = "snap", iters: int = 20, damping: float
         rank = inflow.join(n, by).select(
             by, F.col("dst").alias("id"), ((1 - damping) / F.col("n") + damping * F.col("got")).alias("rank")
         )
-        if i % cut_every == 0 and i < iters:
+        if i % cut_every == 0 or i == iters:
             rank = cut(rank)
+    flow.unpersist()
     return rank

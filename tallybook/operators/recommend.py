@@ -9,6 +9,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut
 from .facts import candidates_by_rank, except_keys
 from .ordering import rank_within
 
@@ -51,7 +52,7 @@ def model_scores(model: ALSModel, truth: DataFrame, train: DataFrame) -> DataFra
     need = needs(truth, train).join(model.userFactors.select(F.col("id").cast("bigint").alias("user_id")), "user_id", "left_semi")
     n_items = model.itemFactors.count()
     need = need.withColumn("band", F.ceil(F.log2(F.least(F.col("need"), F.lit(n_items)).cast("double")) / 2).cast("int"))
-    need = need.persist()
+    need = cut(need)
     bands = sorted(r[0] for r in need.select("band").distinct().collect())  # at most log4(items) values
     parts = [
         recommend(model, need.where(F.col("band") == b), min(4**b, n_items)) for b in bands

@@ -8,6 +8,7 @@ from ..operators import facts as O
 from ..operators import metrics as M
 from ..operators import ordering as R
 from ..operators import recommend as REC
+from ..session import cut
 from . import views as V
 from .registry import query
 from .views import ALIAS, CANON, PLAYS, sql_draw
@@ -137,7 +138,7 @@ free AS (SELECT user_id, item_id, rank FROM u, ranked WHERE (user_id, item_id) N
 placed AS (SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY rank) AS BIGINT) AS place FROM free)
 SELECT user_id, item_id, place FROM placed WHERE place <= 5""")
 def candidate_items(t):
-    p = split_plays(t)
+    p = cut(split_plays(t))
     train = p.where("split = 'train'")
     return O.candidate_items(p, ranked_items(train), train, 5).select("user_id", "item_id", "place")
 
@@ -151,7 +152,7 @@ hits AS (SELECT placed.user_id, count(*) AS hits FROM placed JOIN x USING (user_
 SELECT CAST(count(*) AS BIGINT) AS users, CAST(sum(coalesce(hits, 0)) AS BIGINT) AS hits, round(avg(coalesce(hits, 0) / x), 6) AS overlap
 FROM x LEFT JOIN hits USING (user_id)""")
 def overlap_at_x(t):
-    p = split_plays(t)
+    p = cut(split_plays(t))
     train, val = p.where("split = 'train'"), p.where("split = 'val'")
     scores = REC.popularity_scores(ranked_items(train), val, train)
     return REC.overlap_at_x(scores, val, train).withColumn("overlap", F.round("overlap", 6))
@@ -159,14 +160,14 @@ def overlap_at_x(t):
 
 @query("als_sweep")
 def als_sweep(t):
-    p = split_plays(t).persist()
+    p = cut(split_plays(t))
     table, _ = REC.sweep(p.where("split = 'train'"), p.where("split = 'val'"))
     return table
 
 
 @query("als_recommend")
 def als_recommend(t):
-    p = split_plays(t)
+    p = cut(split_plays(t))
     model = REC.train_implicit(p.where("split = 'train'"), 10)
     return O.with_names(REC.recommend(model, p, 5), V.items(t))
 

@@ -11,6 +11,7 @@ from ..functions.hashing import draw
 from ..operators import metrics as M
 from ..operators import textclass as TC
 from ..operators.facts import union_all
+from ..session import cut
 from ..sources.messages import filter_feed
 from ..streaming import polarity as S
 from . import views as V
@@ -143,8 +144,8 @@ vocab AS (SELECT word, pos, neg FROM cc, tot
 vidx AS (SELECT word, row_number() OVER (ORDER BY word) - 1 AS idx FROM vocab)"""
 
 
-def vocab(t):
-    return TC.select_features(V.labeled_docs(t), stopwords(t))
+def vocab(t, docs=None):
+    return TC.select_features(V.labeled_docs(t) if docs is None else docs, stopwords(t))
 
 
 @query("class_vocab", VOCAB + " SELECT word, CAST(pos AS BIGINT) AS pos, CAST(neg AS BIGINT) AS neg FROM vocab")
@@ -157,7 +158,8 @@ f AS (SELECT DISTINCT doc_id, idx FROM doc_words JOIN vidx USING (word))
 SELECT d.doc_id, label, split, CAST(count(idx) AS BIGINT) AS n_features, coalesce(string_agg(CAST(idx AS VARCHAR), ' ' ORDER BY idx), '') AS features
 FROM docs d LEFT JOIN f ON d.doc_id = f.doc_id GROUP BY ALL""")
 def bow_vectors(t):
-    return TC.vectorize(V.labeled_docs(t), vocab(t)).select(
+    d = cut(V.labeled_docs(t))
+    return TC.vectorize(d, vocab(t, d)).select(
         "doc_id", "label", "split", F.size("features").cast("bigint").alias("n_features"),
         F.concat_ws(" ", F.col("features").cast("array<string>")).alias("features"),
     )
@@ -177,8 +179,8 @@ pred AS (SELECT *, CASE WHEN s0 >= s1 THEN 0 ELSE 1 END AS pred FROM scored)"""
 
 
 def nb_scored(t):
-    d = V.labeled_docs(t)
-    weights, base = TC.nb_bernoulli(d.where("split = 'train'"), vocab(t), [0, 1])
+    d = cut(V.labeled_docs(t))
+    weights, base = TC.nb_bernoulli(d.where("split = 'train'"), cut(vocab(t, d)), [0, 1])
     return TC.nb_predict(d.where("split = 'test'"), weights, base, [0, 1])
 
 
@@ -217,7 +219,8 @@ def logreg(t):
     """Logistic regression on binary features, next to the library's Bernoulli naive Bayes."""
     d = V.labeled_docs(t)
     words = [r[0] for r in vocab(t).select("word").collect()]  # bounded by the frequency threshold
-    x = TC.binary_bow(d, words).select("doc_id", F.col("label").cast("double").alias("label"), "split", "features").persist()
+    x = TC.binary_bow(d, words).select("doc_id", F.col("label").cast("double").alias("label"), "split", "features")
+    x = cut(x)
     train, test = x.where("split = 'train'"), x.where("split = 'test'")
     both = union_all(
         *[
@@ -231,7 +234,8 @@ def logreg(t):
 @query("doc_vectors")
 def doc_vectors(t):
     d = TC.doc_vectors(V.labeled_docs(t), size=100, window=10, iters=1, seed=5)
-    train = d.select("doc_id", F.col("label").cast("double").alias("label"), "split", F.col("vector").alias("features")).persist()
+    train = d.select("doc_id", F.col("label").cast("double").alias("label"), "split", F.col("vector").alias("features"))
+    train = cut(train)
     m = TC.logreg(train.where("split = 'train'"))
     return m.transform(train.where("split = 'test'")).select("doc_id", "label", F.col("prediction").alias("pred"))
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions.hashing import text_key
 from ..operators.ordering import rank_within
+from ..operators.series import pair_consecutive
 from .registry import Tables
 
 # ---- plays, items, aliases ------------------------------------------------------------------------
@@ -164,13 +165,12 @@ hourly AS (SELECT spine.hour - h0 AS t, """ + ", ".join(
 
 def chain_edges(t: Tables) -> DataFrame:
     """Supplier graph: suppliers of consecutive lines of an order; weight = how often, src < dst."""
-    from pyspark.sql.window import Window
-
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    cols = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    lines = rank_within(t.lineitem.select(*cols), [], [F.col(c).asc() for c in cols], "i").select("i", "l_orderkey", "l_suppkey")
     return (
-        t.lineitem.select("l_suppkey", F.lead("l_suppkey").over(w).alias("nxt"))
-        .where("nxt IS NOT NULL AND nxt <> l_suppkey")
-        .groupBy(F.least("l_suppkey", "nxt").alias("src"), F.greatest("l_suppkey", "nxt").alias("dst"))
+        pair_consecutive(lines, "i")  # no window per order, so an order of any length is split
+        .where("l_orderkey = l_orderkey_next AND l_suppkey <> l_suppkey_next")
+        .groupBy(F.least("l_suppkey", "l_suppkey_next").alias("src"), F.greatest("l_suppkey", "l_suppkey_next").alias("dst"))
         .agg(F.count("*").cast("double").alias("weight"))
     )
 
