@@ -6,7 +6,6 @@ import itertools
 import math
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import KolmogorovSmirnovTest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -224,7 +223,3 @@ def lingam(df: DataFrame, cols: list[str]) -> tuple[list[str], DataFrame]:
         fit = least_squares(df, [c], order[:i])[c]
         rows += [(src, c, float(b), i) for src, b in zip(fit.terms, fit.coef) if src != "const"]
     return order, df.sparkSession.createDataFrame(rows, "cause string, effect string, weight double, effect_place int")
-
-
-def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=cols, outputCol=out).transform(df)

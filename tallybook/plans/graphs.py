@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ..operators import facts as O
 from ..operators import graph as G
 from ..operators import metrics as M
 from ..operators import series as SR
@@ -13,7 +11,7 @@ from ..operators import snapshots as SN
 from ..operators import walks as W
 from . import views as V
 from .registry import query
-from .views import BIDS, CHAIN, RATINGS, SNAPS, sql_draw
+from .views import CHAIN, RATINGS, SNAPS, sql_draw
 
 HETERO = f"""WITH {RATINGS},
 movies AS (SELECT 'm' || p_partkey AS m FROM part), known AS (SELECT m FROM movies UNION SELECT m FROM rate),

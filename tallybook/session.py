@@ -59,6 +59,13 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Delete the tables that this application cut; call it when no frame built on them is needed."""
+    jvm, root = spark.sparkContext._jvm, shared_root(spark)
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def use_rocksdb_state(spark: SparkSession) -> None:
     """State store needed by ``transformWithState``."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", _STATE_STORE)
