@@ -111,7 +111,7 @@ def bids(t: Tables) -> DataFrame:
 
 def budgets(t: Tables) -> DataFrame:
     return t.supplier.select(
-        F.col("s_suppkey").alias("adv_id"), F.round(F.abs("s_acctbal") / 20, 2).alias("budget")
+        F.col("s_suppkey").alias("adv_id"), (F.floor(F.abs("s_acctbal") * 5) / 100).alias("budget")
     )
 
 
@@ -127,7 +127,7 @@ def query_log(t: Tables) -> DataFrame:
 BIDS = """kw AS (SELECT p_partkey, p_name || '|' || p_brand || '|' || p_type || '|' || p_size AS keyword FROM part),
 bids AS (SELECT l_suppkey AS adv_id, keyword, round(max(l_discount) + 0.1, 2) AS bid
   FROM lineitem JOIN kw ON l_partkey = p_partkey GROUP BY ALL),
-budgets AS (SELECT s_suppkey AS adv_id, round(abs(s_acctbal) / 20, 2) AS budget FROM supplier)"""
+budgets AS (SELECT s_suppkey AS adv_id, floor(abs(s_acctbal) * 5) / 100 AS budget FROM supplier)"""
 QUERY_LOG = """qlog AS (SELECT keyword, CAST(row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS BIGINT) AS seq
   FROM lineitem JOIN kw ON l_partkey = p_partkey)"""
 
