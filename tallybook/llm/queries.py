@@ -1,6 +1,6 @@
 """All queries of this subpackage."""
 
-from . import decontaminate  # noqa: F401
+from . import decontaminate, near_dedup  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
