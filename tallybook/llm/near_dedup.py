@@ -3,9 +3,9 @@
 1. One pass over the texts writes for each document the number of its shingles, a 128-bit key of its shingle set, a
    signature of one byte per hash function and the band keys of the full hash values.
 2. Documents with equal sets are one class; only its smallest doc_id goes on.
-3. Classes that share a band key are candidates. Comparing them starts from a star: each member of a bucket meets the
-   bucket's smallest and then its largest member, never all pairs. Only members that are in different components after
-   that meet each other, in blocks of bounded size.
+3. Classes that share a band key are candidates. In ``STARS`` rounds each class meets one of its buckets' leaders, the one that
+   it shares most bands with, so a group of copies costs a pair per copy. Only members of a bucket that are in different
+   components after that meet each other, in blocks of bounded size.
 4. A candidate pair is compared one batch of signature bytes after another and pruned as soon as the posterior
    probability (uniform prior) that its similarity reaches the threshold is below ``MISS``. Survivors are confirmed on
    their full shingle sets, as sets of words, so no false link gets through.
@@ -37,6 +37,8 @@ from .registry import query
 SHINGLE, BANDS, ROWS, BATCH = 5, 36, 4, 16
 THRESHOLD = (75, 100)
 MISS = 1e-7
+#: Rounds against leaders (smallest and largest member by turns) before all members of different components meet.
+STARS = 4
 #: Members of a bucket that meet in one group of the block round.
 BLOCK = 256
 _SEED = np.random.default_rng(20240601)
@@ -226,26 +228,39 @@ def near_duplicates(
     reps = cut(reps.groupBy(F.col("doc_id").alias("node")).agg(F.first("sig").alias("sig"), F.first("bands").alias("bands")))
     sigs = reps.select("node", "sig")
     banded = reps.select("node", F.explode("bands").alias("key"))
-    size = banded.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("low"), F.max("node").alias("high")).where("n > 1")
-    buckets = cut(banded.join(size, "key"))
-    members = buckets.select("node").distinct()
+    size = banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    at = cut(banded.join(size, "key").withColumn("comp", F.col("node")))
+    members = at.select("node").distinct()
     texts = cut(docs.select(F.col(doc_id).cast("bigint").alias("node"), F.col(text).cast("string").alias("text"))
                 .join(members, "node", "left_semi").dropDuplicates(["node"]))
+    comp = cut(members.withColumn("comp", F.col("node")))
 
     def linked(pairs: DataFrame) -> DataFrame:
         return cut(confirm(cut(prune(pairs, sigs, share, miss)), texts, *threshold))
 
-    star = buckets.select(F.col("low").alias("a"), F.col("node").alias("b")).unionByName(
-        buckets.select(F.col("node").alias("a"), F.col("high").alias("b"))).where("a <> b").distinct()
-    links = linked(star)
-    comp = components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
-    at = cut(buckets.select("key", "n", "node").join(comp.withColumnRenamed("id", "node"), "node", "left")
-             .withColumn("comp", F.coalesce("comp", "node")))
-    apart = at.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("n2")).where("x <> y and n2 > 2")
-    rest = at.join(apart.select("key"), "key", "left_semi").join(sigs, "node")
-    more = linked(_block_pairs(rest, share, miss))
-    links = links.unionByName(more)
-    comp = components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    def joined(links: DataFrame, comp: DataFrame) -> DataFrame:
+        """``comp`` after the components that ``links`` connect became one."""
+        ends = links.join(comp.select(F.col("node").alias("a"), F.col("comp").alias("src")), "a").join(
+            comp.select(F.col("node").alias("b"), F.col("comp").alias("dst")), "b")
+        new = components(ends.select("src", "dst").where("src <> dst")).select(F.col("id").alias("comp"), F.col("comp").alias("to"))
+        return cut(comp.join(new, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")))
+
+    def open_buckets(at: DataFrame, comp: DataFrame) -> DataFrame:
+        """Members of buckets that still hold more than one component."""
+        at = at.drop("comp").join(comp, "node")
+        apart = at.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
+        return cut(at.join(apart, "key", "left_semi"))
+
+    for k in range(STARS):
+        pick = (F.min_by, F.max_by)[k % 2]
+        heads = at.groupBy("key").agg(pick("node", "node").alias("head"), pick("comp", "node").alias("head_comp"))
+        star = at.join(heads, "key").where("comp <> head_comp").groupBy("head", "node").agg(F.count("*").alias("c"))
+        best = star.groupBy("node").agg(F.max_by("head", F.struct("c", "head")).alias("head"))
+        links = linked(best.select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b")).distinct())
+        comp = joined(links, comp)
+        at = open_buckets(at, comp)
+    rest = at.join(sigs, "node")
+    comp = joined(linked(_block_pairs(rest, share, miss)), comp).withColumnRenamed("node", "id")
     found = classes.join(comp.withColumnRenamed("id", "node"), "node", "left").select(*keys, "node", "comp")
     return every.select("doc_id", *keys).join(found, keys, "left").select(
         "doc_id", "n_shingles", F.coalesce("node", "doc_id").alias("class_id"), F.coalesce("comp", "node", "doc_id").alias("component_id"))
