@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 
-__all__ = ["cut", "map_batches", "table", "blob", "WORD_BYTES", "lower_ascii"]
+__all__ = ["cut", "map_batches", "map_stream", "table", "fresh", "shielded", "blob", "WORD_BYTES", "lower_ascii"]
 
 #: Bytes of one Arrow batch that a Python task holds; very long texts come alone.
 BATCH_BYTES = "8m"
@@ -40,6 +40,23 @@ def map_stream(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[
     return df.mapInArrow(wraps(fn)(lambda it: fn(it)), schema)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def shielded(df: DataFrame, names: set[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with columns called like one of ``names`` renamed, and the function that names them back."""
+    kept = {}
+    for c in df.columns:
+        if c.lower() in names:
+            kept[c] = fresh(df, f"{c}_kept")
+    return df.withColumnsRenamed(kept), lambda out: out.withColumnsRenamed({v: k for k, v in kept.items()})
+
+
 def blob(column: pa.Array) -> list[bytes | None]:
     """UTF-8 bytes of a string column, without decoding."""
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()

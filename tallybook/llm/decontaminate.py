@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD_BYTES, blob, cut, map_batches, table
+from .common import WORD_BYTES, blob, cut, fresh, map_batches, shielded, table
 from .registry import query
 
 WINDOW = 10
@@ -174,8 +174,9 @@ def find_overlap(
     """
     spark = docs.sparkSession
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("n_words", "hits", "hit_items")]
+    body = fresh(docs, "_t")
     span = "array<struct<start:bigint,stop:bigint>>"
-    found = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias("_t"), F.lit(None).cast("bigint").alias("n_words"),
+    found = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias(body), F.lit(None).cast("bigint").alias("n_words"),
                         F.lit(None).cast(span).alias("hits"), F.lit(None).cast("array<string>").alias("hit_items"))
     schema = found.schema
     blocks = item_blocks(items, item_id, item_text)
@@ -186,7 +187,7 @@ def find_overlap(
             auto = _automaton(shared)
             n, hits, names = [], [], []
             old_hits, old_names = b.column("hits").to_pylist(), b.column("hit_items").to_pylist()
-            for t, h, m in zip(blob(b.column("_t")), old_hits, old_names, strict=True):
+            for t, h, m in zip(blob(b.column(body)), old_hits, old_names, strict=True):
                 words = split_words(t)
                 spans, got = auto.scan(words)
                 if h:
@@ -195,17 +196,17 @@ def find_overlap(
                 hits.append([{"start": x, "stop": y} for x, y in spans])
                 names.append(sorted(got | set(m or [])))
             out = {c: b.column(c) for c in keep} | {
-                "_t": b.column("_t"),
+                body: b.column(body),
                 "n_words": pa.array(n, pa.int64()),
                 "hits": pa.array(hits, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
                 "hit_items": pa.array(names, pa.list_(pa.string())),
             }
             if k + 1 == len(blocks):
-                del out["_t"]
+                del out[body]
             return pa.RecordBatch.from_pydict(out)
 
         last = k + 1 == len(blocks)
-        found = map_batches(found, scan, found.drop("_t").schema if last else schema)
+        found = map_batches(found, scan, found.drop(body).schema if last else schema)
         if not last:
             found = cut(found)
     return found
@@ -241,6 +242,7 @@ def remove_overlap(
 ) -> DataFrame:
     """``docs`` without benchmark passages: spans of ``max_span`` words or more are cut out of the text, and a document
     of which more than ``max_coverage`` of the words are covered goes as a whole. Columns stay as they are."""
+    docs, named_back = shielded(docs, {"n_words", "hits", "hit_items", "_hit"})
     cols = docs.columns
     schema = docs.schema
     found = find_overlap(docs, items, window=window).withColumn("_hit", n_hit())
@@ -252,7 +254,7 @@ def remove_overlap(
             texts.append(_without(t, [(h["start"], h["stop"]) for h in hits if h["stop"] - h["start"] >= max_span]))
         return pa.RecordBatch.from_pydict({c: pa.array(texts, pa.string()) if c == "text" else b.column(c) for c in cols})
 
-    return map_batches(kept.select(*cols, "hits"), clean, schema)
+    return named_back(map_batches(kept.select(*[F.col(f"`{c}`") for c in cols], "hits"), clean, schema))
 
 
 def _without(text: bytes | None, spans: list[tuple[int, int]]) -> str | None:

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, fresh, table
 from .registry import query
 
 # fixed values: titles by gender, and syllables of invented names by script
@@ -41,7 +41,7 @@ PATTERNS = {
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: A text that does not match this has no entity; it is much cheaper to test.
-HINT = rf"[0-9@]|(?i:password|passwd|pwd|token|secret|api_?key)|{_TITLE}"
+HINT = rf"[0-9@]|AKIA|ASIA|gh[pousr]_|sk-|(?i:password|passwd|pwd|token|secret|api_?key)|{_TITLE}"
 #: The part of a match that is replaced, where something stands before it; a phone number keeps its country code.
 VALUE = {"phone": r"(?<=^\+\d{1,3})[ .\-(].*$|^[^+].*$|^\+.{0,2}$", "secret": r"[A-Za-z0-9+/_\-]{8,}$", "key": r"(?<=AKIA|ASIA|gh[pousr]_|sk-).*$", "name": r"(?<= )\p{Lu}.*$"}
 
@@ -156,17 +156,18 @@ def surrogates(found: DataFrame, key: str) -> DataFrame:
 def replace_entities(docs: DataFrame, key: str = "surrogates", text: str = "text", count: str | None = None) -> DataFrame:
     """``docs`` with surrogates in ``text``; ``count`` names a column for the number of replaced entities."""
     cols = [c for c in docs.columns if c != count]
+    e, k, m = (fresh(docs, x) for x in ("_e", "_k", "_m"))
     t = F.col(f"`{text}`")
-    rows = docs.select(*[F.col(f"`{c}`") for c in cols], entities(t).alias("_e"))
-    has = F.coalesce(F.size("_e") > 0, F.lit(False))
+    rows = docs.select(*[F.col(f"`{c}`") for c in cols], entities(t).alias(e))
+    has = F.coalesce(F.size(e) > 0, F.lit(False))
     digest = F.sha2(t.cast("binary"), 256)
-    solved = cut(rows.where(has).select(digest.alias("_k"), F.explode("_e").alias("match")).distinct())
-    maps = solved.join(surrogates(solved.select("match").distinct(), key), "match").groupBy("_k").agg(
-        F.map_from_entries(F.collect_list(F.struct("match", "new"))).alias("_m"))
+    solved = cut(rows.where(has).select(digest.alias(k), F.explode(e).alias("match")).distinct())
+    maps = solved.join(surrogates(solved.select("match").distinct(), key), "match").groupBy(k).agg(
+        F.map_from_entries(F.collect_list(F.struct("match", "new"))).alias(m))
     between = F.split(t, PATTERN, -1)
-    mended = F.array_join(F.transform(between, lambda x, i: F.concat(x, F.coalesce(F.element_at("_m", F.get("_e", i)), F.lit("")))), "")
-    dirty = rows.where(has).withColumn("_k", digest).join(maps, "_k")
-    n = [] if count is None else [F.coalesce(F.size("_e"), F.lit(0)).cast("bigint").alias(count)]
+    mended = F.array_join(F.transform(between, lambda x, i: F.concat(x, F.coalesce(F.element_at(m, F.get(e, i)), F.lit("")))), "")
+    dirty = rows.where(has).withColumn(k, digest).join(maps, k)
+    n = [] if count is None else [F.coalesce(F.size(e), F.lit(0)).cast("bigint").alias(count)]
     changed = dirty.select(*[mended.alias(c) if c == text else F.col(f"`{c}`") for c in cols], *n)
     zero = [] if count is None else [F.lit(0).cast("bigint").alias(count)]
     return rows.where(~has).select(*[F.col(f"`{c}`") for c in cols], *zero).unionByName(changed)

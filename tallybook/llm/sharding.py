@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import cut, table
+from .common import cut, shielded, table
 from .registry import query
 
 PROBES = 1024
@@ -119,9 +119,10 @@ def _start(bracket: tuple) -> tuple[int, int]:
 def shard_by_bytes(
     docs: DataFrame, shards: int = 16, ranges: int = 1, doc_id: str = "doc_id", text: str = "text", tolerance: float = TOLERANCE,
 ) -> DataFrame:
-    """``docs`` with ``size`` (bytes of the text plus 1), ``shard`` and ``slot`` (gapless from 0 in each shard)."""
+    """``docs`` with ``size`` (bytes of the text plus 1), ``shard`` and ``slot`` (gapless from 0 in each shard); such columns are replaced."""
+    docs, named_back = shielded(docs.drop("size", "shard", "slot"), {"_h", "_i", "_size", "_r", "_n"})
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    keyed = docs.drop("size", "shard", "slot").withColumns({
+    keyed = docs.withColumns({
         "_h": F.xxhash64(body), "_i": F.coalesce(F.col(doc_id).cast("bigint"), F.lit(_LOW)),
         "_size": F.octet_length(body).cast("bigint") + 1,
     })
@@ -137,11 +138,11 @@ def shard_by_bytes(
         start.append(at)
         at += rows.get(r, 0)
     place = Window.partitionBy("_r").orderBy("_h", "_i")
-    return keyed.withColumn("_r", of).withColumn("_n", F.row_number().over(place)).select(
-        *[c for c in docs.columns if c not in ("size", "shard", "slot")], F.col("_size").alias("size"),
+    return named_back(keyed.withColumn("_r", of).withColumn("_n", F.row_number().over(place)).select(
+        *[F.col(f"`{c}`") for c in docs.columns], F.col("_size").alias("size"),
         F.floor(F.col("_r") / ranges).cast("int").alias("shard"),
         (F.element_at(F.array(*[F.lit(s).cast("bigint") for s in start]), F.col("_r") + 1) + F.col("_n") - 1).alias("slot"),
-    )
+    ))
 
 
 @query("op8_shard")

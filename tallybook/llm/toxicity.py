@@ -241,7 +241,7 @@ def hits(docs: DataFrame, shared, carry: list[str], text: str = "text") -> DataF
                 h.append(sum(k for w, k in words.items() if lexicon[w]))
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in carry], pa.array(n, pa.int64()), pa.array(h, pa.int64())], [*carry, "n_words", "n_hits"])
 
-    rows = docs.select(*carry, F.col(text).cast("string").alias("_t"))
+    rows = docs.select(*[F.col(f"`{c}`") for c in carry], F.col(text).cast("string").alias("_t"))
     schema = rows.drop("_t").withColumns({"n_words": F.lit(None).cast("bigint"), "n_hits": F.lit(None).cast("bigint")}).schema
     return map_stream(rows, count, schema)
 
@@ -271,12 +271,12 @@ def toxicity_scores(
     docs: DataFrame, labels: DataFrame, carry: list[str] | None = None, doc_id: str = "doc_id", text: str = "text",
     train: Column | None = None, reference: DataFrame | None = None,
 ) -> DataFrame:
-    """``docs`` (or its ``carry`` columns) with ``score`` and ``predicted``.
+    """``docs`` (or its ``carry`` columns) with ``n_words``, ``n_hits``, ``score`` and ``predicted``; such columns are replaced.
 
     ``train``: which labelled rows may be learned from, by default all. ``reference``: the table that labels refer to, if
     ``docs`` is only a part of it.
     """
-    spark, carry = docs.sparkSession, [c for c in (docs.columns if carry is None else carry) if c not in ("score", "predicted")]
+    spark, carry = docs.sparkSession, [c for c in (docs.columns if carry is None else carry) if c not in ("score", "predicted", "n_words", "n_hits", "_t")]
     reference = docs if reference is None else reference
     known = labels.select(F.col("doc_id").cast("bigint").alias("_id"), F.col("toxic").cast("int").alias("_y")).where("_y in (0, 1)")
     known = known.where(train if train is not None else F.lit(True))

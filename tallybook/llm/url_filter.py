@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, lower_ascii, table
+from .common import cut, lower_ascii, shielded, table
 from .registry import query
 
 ORDER, SYMBOLS = 4, 1024
@@ -81,8 +81,9 @@ def models(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def filter_urls(pages: DataFrame, url: str = "url", rules: tuple = RULES) -> DataFrame:
-    """``pages`` with ``host``, ``path``, ``rule``, ``verdict`` and ``score`` (length-normalised log-likelihood difference; high: allow)."""
-    keep = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict", "score")]
+    """``pages`` with ``host``, ``path``, ``rule``, ``verdict`` and ``score`` (length-normalised log-likelihood difference; high: allow); such columns are replaced."""
+    pages, named_back = shielded(pages.drop("host", "path", "rule", "verdict", "score"), {"_u", "_s", "_rule"})
+    keep = pages.columns
     rows = pages.select(*[F.col(f"`{c}`") for c in keep], F.col(url).cast("string").alias("_u"))
     host, path = host_and_path(F.col("_u"))
     rows = rows.withColumns({"host": host, "path": path}).withColumn("_rule", rule_for(F.col("host"), F.col("path"), rules))
@@ -99,8 +100,8 @@ def filter_urls(pages: DataFrame, url: str = "url", rules: tuple = RULES) -> Dat
     held = scored.where(kept_back & (F.col("a") + F.col("b") > 0)).groupBy(cell.alias("cell")).agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect()
     threshold = calibrate({r["cell"]: (r["a"], r["b"]) for r in held})
     judged = F.lit("allow") if threshold is None else F.when(F.col("score") >= threshold, "allow").otherwise("block")
-    return rows.join(scored.select(F.col("s").alias("_s"), "score"), "_s").select(
-        *[F.col(f"`{c}`") for c in keep], "host", "path", F.col("_rule.rule").alias("rule"), F.coalesce("_rule.verdict", judged).alias("verdict"), "score")
+    return named_back(rows.join(scored.select(F.col("s").alias("_s"), "score"), "_s").select(
+        *[F.col(f"`{c}`") for c in keep], "host", "path", F.col("_rule.rule").alias("rule"), F.coalesce("_rule.verdict", judged).alias("verdict"), "score"))
 
 
 def calibrate(cells: dict[int, tuple[int, int]]) -> float | None:
