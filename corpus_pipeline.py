@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import cut, table
+from tallybook.llm.common import cut, shielded, table
 from tallybook.llm.decontaminate import remove_overlap
 from tallybook.llm.near_dedup import drop_near_duplicates
 from tallybook.llm.packing import default_tokenizer, pack
@@ -29,8 +29,9 @@ def _recounted(docs: DataFrame) -> DataFrame:
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic."""
+    docs, named_back = shielded(docs, {"score", "predicted", "n_words", "n_hits", "_t"})
     scored = toxicity_scores(docs, table(spark, sf_dir, "labels"), train=~held_out("_id"))
-    return scored.where("predicted = 0").select(*docs.columns)
+    return named_back(scored.where("predicted = 0").select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
