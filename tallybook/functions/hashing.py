@@ -31,6 +31,6 @@ def unit(*parts) -> Column:
 
 
 def token_bits(token: Column, bits: int = 64) -> list[Column]:
-    """Bit columns (0/1) of md5(token), most significant first."""
-    words = [hex_word(token, w) for w in range((bits + 31) // 32)]
+    """Bit columns (0/1) of md5(token), most significant first; beyond its 128 bits those of md5(token|1), md5(token|2) ..."""
+    words = [hex_word(token if w < 4 else text_key(token, w // 4), w % 4) for w in range((bits + 31) // 32)]
     return [F.shiftright(words[i // 32], 31 - i % 32).bitwiseAND(F.lit(1)) for i in range(bits)]

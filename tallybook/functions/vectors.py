@@ -55,8 +55,9 @@ def hamming_bits(a, b) -> Column:
     return F.bit_count(col(a).bitwiseXOR(col(b))).cast("bigint")
 
 
-def simhash_similarity(a, b, bits: int = 64) -> Column:
-    return F.lit(1.0) - hamming_bits(a, b) / F.lit(float(bits))
+def bit_similarity(a, b) -> Column:
+    """Share of equal places of two bit arrays of the same length, whatever it is."""
+    return F.lit(1.0) - hamming(a, b) / F.size(col(a))
 
 
 def pair_loss(p, q, e) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import token_bits
-from ..functions.vectors import hamming_bits
+from ..functions.vectors import bit_similarity
 from .ordering import rank_within
 from .series import pair_consecutive
 
@@ -29,22 +29,14 @@ def rank_vertices(ranks: DataFrame, by: str = "snap", digits: int = 12) -> DataF
 
 
 def simhash(tokens: DataFrame, by: str = "snap", bits: int = 64) -> DataFrame:
-    """(by, bits, fingerprint): one signed weighted sum per bit, all in one aggregation; bit = sum >= 0.
-
-    ``bits`` is an array of 0/1 and ``fingerprint`` packs up to 64 of them in a bigint.
-    """
+    """(by, bits): one signed weighted sum per bit, all in one aggregation; bit = sum >= 0. Any number of bits."""
     signs = token_bits(F.col("token").cast("string"), bits)
     sums = [F.sum(F.col("weight") * (2 * b - 1)).alias(f"_s{i}") for i, b in enumerate(signs)]
     flags = [F.when(F.col(f"_s{i}") >= 0, 1).otherwise(0) for i in range(bits)]
-    packed = F.lit(0).cast("bigint")
-    for i, f in enumerate(flags[:64]):
-        packed = packed.bitwiseOR(F.shiftleft(f.cast("bigint"), min(bits, 64) - 1 - i))
-    return tokens.groupBy(by).agg(*sums).select(by, F.array(*flags).alias("bits"), packed.alias("fingerprint"))
-
-
-def snapshot_similarity(prints: DataFrame, by: str = "snap", bits: int = 64) -> DataFrame:
-    """(t, sim): 1 - hamming / bits of each snapshot and its successor."""
-    pairs = pair_consecutive(prints.select(by, "fingerprint"), by)
-    return pairs.select(
-        F.col(by).alias("t"), (F.lit(1.0) - hamming_bits("fingerprint", "fingerprint_next") / F.lit(float(bits))).alias("sim")
-    )
+    return tokens.groupBy(by).agg(*sums).select(by, F.array(*flags).alias("bits"))
+
+
+def snapshot_similarity(prints: DataFrame, by: str = "snap") -> DataFrame:
+    """(t, sim): share of equal bits of each snapshot and its successor."""
+    pairs = pair_consecutive(prints.select(by, "bits"), by)
+    return pairs.select(F.col(by).alias("t"), bit_similarity("bits", "bits_next").alias("sim"))
