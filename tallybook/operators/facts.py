@@ -62,15 +62,14 @@ def preview(df: DataFrame, n: int, order: list[Column]) -> DataFrame:
 
 
 def items_by_user(df: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """Item lists per user. A list longer than ``chunk`` comes as several rows numbered by ``chunk``,
-    so that no task has to hold all items of a huge user."""
+    """Item lists per user in item order, ``chunk`` places a row: row k holds places k * chunk + 1 to (k + 1) * chunk.
+
+    The rule is the same for all users, and no task has to hold all items of a huge one.
+    """
     pairs = df.select("user_id", "item_id").distinct()
-    parts = pairs.groupBy("user_id").agg(F.ceil(F.count("*") / F.lit(chunk)).alias("_parts"))
-    return (
-        pairs.join(parts, "user_id")
-        .withColumn("chunk", F.pmod(F.xxhash64("item_id"), F.col("_parts")).cast("bigint"))
-        .groupBy("user_id", "chunk")
-        .agg(F.sort_array(F.collect_list("item_id")).alias("items"))
+    placed = rank_within(pairs, ["user_id"], [F.col("item_id").asc()], "place")
+    return placed.groupBy("user_id", F.floor((F.col("place") - 1) / chunk).alias("chunk")).agg(
+        F.sort_array(F.collect_list("item_id")).alias("items")
     )
 
 

@@ -107,7 +107,7 @@ def records_to_graph(ratings: DataFrame, movies: DataFrame, dims: dict[str, Data
     return union_all(*node_sets), undirected(union_all(*links))
 
 
-def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(id, comp), comp = smallest id of the component.
 
     Alternates two star steps: every vertex hands its larger neighbours, then its smaller ones, to the
@@ -117,7 +117,7 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     vertices = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
     e = cut(edges.where("src <> dst").select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct())
     last = None
-    for _ in range(max_rounds):
+    while True:
         both = e.unionByName(swapped(e))
         low = both.groupBy("src").agg(F.least(F.min("dst"), F.first("src")).alias("low"))
         large = both.where("dst > src").join(low, "src").select(F.col("dst").alias("src"), F.col("low").alias("dst"))
@@ -129,37 +129,47 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         if sig == last:
             break
         last = sig
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     root = e.select(F.col("src").alias("id"), F.col("dst").alias("comp"))
     return vertices.join(root, "id", "left").select("id", F.coalesce("comp", "id").alias("comp"))
 
 
-def pagerank(edges: DataFrame, by: str = "snap", iters: int = 20, damping: float = 0.85, cut_every: int = 10) -> DataFrame:
+def pagerank(
+    edges: DataFrame, by: str = "snap", iters: int = 20, damping: float = 0.85, cut_every: int = 10, tol: float | None = None,
+) -> DataFrame:
     """(by, id, rank) of every undirected multigraph ``by`` at once; ranks of a graph sum to 1.
 
-    Edges are partitioned by (by, source) once; each round then shuffles only the partial sums of the
-    ranks.
+    The edges of a hub are joined with its rank like any skewed key, so adaptive execution may split them. With ``tol``
+    rounds go on past ``iters``, ``cut_every`` at a time, until no rank moved by more in the last of them.
     """
     both = edges.select(by, "src", "dst").unionByName(swapped(edges.select(by, "src", "dst")))
     parallel = both.groupBy(by, "src", "dst").agg(F.count("*").alias("w"))
     deg = both.groupBy(by, "src").agg(F.count("*").alias("deg"))
     size = deg.groupBy(by).agg(F.count("*").alias("n"))
     flow = cut(parallel.join(deg, [by, "src"]).select(by, "src", "dst", (F.col("w") / F.col("deg")).alias("p")))
-    flow = flow.repartition(by, "src").persist()
     base = cut(deg.join(size, by).select(by, F.col("src").alias("id"), "n"))
     rank = base.select(by, "id", (F.lit(1.0) / F.col("n")).alias("rank"))
-    n = size.select(by, "n")
-    for i in range(1, iters + 1):
+    n = base.groupBy(by).agg(F.max("n").alias("n"))
+
+    def step(rank: DataFrame) -> DataFrame:
         inflow = (
             flow.join(rank.withColumnRenamed("id", "src"), [by, "src"])
             .groupBy(by, "dst").agg(F.sum(F.col("rank") * F.col("p")).alias("got"))
         )
         # every vertex has an edge, so each gets an inflow
-        rank = inflow.join(n, by).select(
+        return inflow.join(n, by).select(
             by, F.col("dst").alias("id"), ((1 - damping) / F.col("n") + damping * F.col("got")).alias("rank")
         )
+
+    i = 0
+    while True:
+        i += 1
+        rank = step(rank)
         if i % cut_every == 0 or i == iters:
             rank = cut(rank)
-    flow.unpersist()
+        if i >= iters and (tol is None or i % cut_every == 0):
+            if tol is None:
+                break
+            moved = step(rank).withColumnRenamed("rank", "_next").join(rank, [by, "id"]).agg(F.max(F.abs(F.col("_next") - F.col("rank")))).first()[0]
+            if moved is None or moved <= tol:
+                break
     return rank

@@ -60,9 +60,9 @@ def preview(t):
 
 
 @query("items_by_user", WITH + """
-SELECT user_id, CAST(0 AS BIGINT) AS chunk, CAST(count(DISTINCT item_id) AS BIGINT) AS n_items,
+SELECT user_id, CAST((place - 1) // 10000 AS BIGINT) AS chunk, CAST(count(*) AS BIGINT) AS n_items,
   string_agg(CAST(item_id AS VARCHAR), ' ' ORDER BY item_id) AS items
-FROM (SELECT DISTINCT user_id, item_id FROM canon) GROUP BY 1""")
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY item_id) AS place FROM (SELECT DISTINCT user_id, item_id FROM canon)) GROUP BY ALL""")
 def items_by_user(t):
     return O.items_by_user(canonical_plays(t)).select(
         "user_id", "chunk", F.size("items").cast("bigint").alias("n_items"), F.concat_ws(" ", F.col("items").cast("array<string>")).alias("items")
@@ -78,15 +78,15 @@ def entities(t):
 
 @query("set_operations", SPLIT + """,
 k AS (SELECT DISTINCT user_id, item_id, split FROM parts),
-tr AS (SELECT DISTINCT item_id FROM parts WHERE split = 'train' AND plays > 45),
-te AS (SELECT DISTINCT item_id FROM parts WHERE split = 'test' AND plays > 45)
+tr AS (SELECT DISTINCT item_id FROM parts WHERE split = 'train'),
+te AS (SELECT DISTINCT item_id FROM parts WHERE split = 'test')
 SELECT 'union' AS op, item_id FROM (SELECT * FROM tr UNION SELECT * FROM te)
 UNION ALL SELECT 'intersect', item_id FROM (SELECT * FROM tr INTERSECT SELECT * FROM te)
 UNION ALL SELECT 'except', item_id FROM (SELECT * FROM te EXCEPT SELECT * FROM tr)""")
 def set_operations(t):
-    loud = split_plays(t).where("plays > 45").select("item_id", "split")
-    tr = loud.where("split = 'train'").select("item_id").distinct()
-    te = loud.where("split = 'test'").select("item_id").distinct()
+    parts = split_plays(t).select("item_id", "split")
+    tr = parts.where("split = 'train'").select("item_id").distinct()
+    te = parts.where("split = 'test'").select("item_id").distinct()
     tag = lambda name, df: df.select(F.lit(name).alias("op"), "item_id")
     return O.union_all(
         tag("union", O.union_distinct(tr, te)),

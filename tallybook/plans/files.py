@@ -96,7 +96,7 @@ SELECT lang AS category, word, CAST(count(*) AS BIGINT) AS n FROM w WHERE word <
 def src_corpus(t):
     """Documents written under language folders and read as a corpus of categories."""
     d = scratch(t.spark, "corpus")
-    t.documents.select("lang", F.regexp_replace("text", "\r?\n", "\n").alias("value")).repartition("lang").write.partitionBy("lang").text(d)
+    t.documents.select("lang", F.regexp_replace("text", "\r?\n", "\n").alias("value")).write.partitionBy("lang").text(d)
     c = R.read_corpus(t.spark, d)
     return TC.term_counts(c.withColumn("category", F.regexp_replace("category", "^lang=", "")), ["category"])
 
@@ -107,22 +107,20 @@ def src_edges(t):
     return R.read_edges(t.spark, _text(V.chain_edges(t), d, "src", "dst"))
 
 
-@query("src_vertex_attrs", """SELECT vec_id AS id, round(embedding[1]::DOUBLE, 6) AS a0, round(embedding[2]::DOUBLE, 6) AS a1 FROM embeddings""")
+@query("src_vertex_attrs", """SELECT vec_id AS id, CAST(i AS BIGINT) AS attr, round(embedding[i + 1]::DOUBLE, 6) AS value FROM embeddings, range(64) r(i)""")
 def src_vertex_attrs(t):
     """Attributes with an id column, and as bare rows whose number is the id."""
     d = scratch(t.spark, "attrs")
-    rows = t.embeddings.select(
-        F.col("vec_id").alias("id"), F.round(F.col("embedding")[0].cast("double"), 6).alias("a0"), F.round(F.col("embedding")[1].cast("double"), 6).alias("a1")
-    )
+    attrs = [F.round(F.col("embedding")[i].cast("double"), 6).alias(f"a{i}") for i in range(64)]
+    rows = t.embeddings.select(F.col("vec_id").alias("id"), *attrs)
     S.write_csv(rows, f"{d}/keyed")
-    rows.orderBy("id").select("a0", "a1").coalesce(1).write.option("header", True).csv(f"{d}/rows")
-    keyed, bare = R.read_vertex_attrs(t.spark, f"{d}/keyed", 2), R.read_vertex_rows(t.spark, f"{d}/rows")
-    return keyed.join(bare.withColumnRenamed("attrs", "b"), "id").where("attrs = b").select(
-        "id", F.col("attrs")[0].alias("a0"), F.col("attrs")[1].alias("a1")
-    )
+    rows.orderBy("id").drop("id").write.option("header", True).csv(f"{d}/rows")
+    keyed, bare = R.read_vertex_attrs(t.spark, f"{d}/keyed", 64), R.read_vertex_rows(t.spark, f"{d}/rows")
+    both = keyed.join(bare.withColumnRenamed("attrs", "b"), "id").where("attrs = b")
+    return both.select("id", F.posexplode("attrs").alias("attr", "value")).withColumn("attr", F.col("attr").cast("bigint"))
 
 
-@query("src_communities", "SELECT s_suppkey AS id, CAST(dense_rank() OVER (ORDER BY s_nationkey) - 1 AS BIGINT) AS comm FROM supplier")
+@query("src_communities", "SELECT s_suppkey AS id, CAST(s_nationkey AS BIGINT) AS comm FROM supplier")
 def src_communities(t):
     d = scratch(t.spark, "comm")
     S.write_communities(V.nation_communities(t), d)
@@ -151,7 +149,7 @@ def src_queries(t):
 def src_snapshots(t):
     d = scratch(t.spark, "snaps")
     e = V.snapshot_edges(t)
-    e.select("snap", F.concat_ws(" ", F.col("src").cast("string"), F.col("dst").cast("string")).alias("value")).repartition("snap").write.partitionBy("snap").text(d)
+    e.select("snap", F.concat_ws(" ", F.col("src").cast("string"), F.col("dst").cast("string")).alias("value")).write.partitionBy("snap").text(d)
     return R.read_snapshots(t.spark, d).groupBy("snap", "src", "dst").agg(F.count("*").alias("n"))
 
 
@@ -180,7 +178,7 @@ def src_movie_dims(t):
 def src_ratings(t):
     """Rating lines in file order; the last line of a pair wins."""
     d = scratch(t.spark, "ratings")
-    V.ratings(t).orderBy("line_no").select("user", "movie", "rating").coalesce(1).write.option("header", True).option("sep", "\t").csv(d)
+    V.ratings(t).orderBy("line_no").select("user", "movie", "rating").write.option("header", True).option("sep", "\t").csv(d)
     return G.last_ratings(R.read_ratings(t.spark, d)).select(
         F.concat(F.lit("u"), "user").alias("user"), F.concat(F.lit("m"), "movie").alias("movie"), "rating"
     )
@@ -209,15 +207,15 @@ def sink_messages(t):
     return t.spark.read.schema(MSG.SCHEMA).parquet(d).select(F.unix_timestamp("ts").alias("sec"), "value")
 
 
-@query("src_patches")
+@query("src_patches", f"""WITH {TAGS} SELECT CAST(vec_id AS VARCHAR) AS name, CAST(len(embedding) AS BIGINT) AS n FROM embeddings
+WHERE CAST(vec_id AS VARCHAR) IN (SELECT name FROM tag_rows)""")
 def src_patches(t):
-    """Embeddings written as text patches of several sizes, read as binary files of tagged images."""
+    """Embeddings written as a patch file each, read as binary files of tagged images."""
     d = scratch(t.spark, "patches")
     name = F.col("vec_id").cast("string").alias("name")
-    t.embeddings.select(name, F.concat_ws(",", F.col("embedding").cast("array<string>")).alias("value")).repartition("name").write.partitionBy("name").text(d)
-    files = t.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(d)
-    named = files.select(F.regexp_extract("path", r"name=([^/]+)/", 1).alias("name"), "length")
-    return named.join(V.image_tags(t).select("name").distinct(), "name", "left_semi").select("name", "length")
+    t.embeddings.select(name, F.concat_ws(",", F.col("embedding").cast("array<string>")).alias("value")).write.partitionBy("name").text(d)
+    patches = R.read_patches(t.spark, d, V.image_tags(t))
+    return patches.select("name", F.size(F.split(F.decode("content", "UTF-8"), ",")).cast("bigint").alias("n"))
 
 
 @query("polarity_stream", TX.POLAR + ", s AS (SELECT sum(p) AS positive, sum(n) AS negative FROM flags)" + TX.UNFOLD.format(k=""))

@@ -79,12 +79,6 @@ def has_edge(t):
     return G.has_edge(V.chain_edges(t), pairs)
 
 
-@query("clique", "SELECT a.s_suppkey + 1 AS src, b.s_suppkey + 1 AS dst FROM supplier a, supplier b WHERE a.s_suppkey <> b.s_suppkey")
-def clique(t):
-    """Complete graph on as many vertices as there are suppliers (keys 0..n-1)."""
-    return G.clique(t.spark, t.supplier.count())
-
-
 @query("components", """WITH RECURSIVE e AS (SELECT DISTINCT p_name AS a, p_brand || '|' || p_type || '|' || p_size AS b FROM part),
 s AS (SELECT a AS x, b AS y FROM e UNION SELECT b, a FROM e),
 reach AS (SELECT x AS id, x AS other FROM s UNION SELECT r.id, s.y FROM reach r JOIN s ON r.other = s.x)
@@ -103,16 +97,16 @@ LENGTH, PATHS, ALPHA, SEED = 6, 2, 0.15, 11
 def _walk_sql() -> str:
     def move(prev: str, k: int) -> str:
         h, back = sql_draw("w.start", "w.rep", str(k), str(SEED)), sql_draw("w.start", "w.rep", str(k), str(SEED), "'r'")
-        return f"""w{k} AS (SELECT w.start, w.rep, CASE WHEN w.back THEN w.start ELSE n.dst END AS cur,
+        return f"""w{k} AS MATERIALIZED (SELECT w.start, w.rep, CASE WHEN w.back THEN w.start ELSE n.dst END AS cur,
     w.path || ' ' || CASE WHEN w.back THEN w.start ELSE n.dst END AS path
   FROM (SELECT w.*, d.deg, {back} / 4294967296.0 < {ALPHA} AS back, 1 + {h} % d.deg AS at FROM {prev} w JOIN deg d ON d.src = w.cur) w
   LEFT JOIN nb n ON n.src = w.cur AND n.pos = w.at)"""
 
     steps = ",\n".join(move(f"w{k - 1}", k) for k in range(1, LENGTH))
-    return HETERO + f""",
-deg AS (SELECT src, count(*) AS deg FROM he GROUP BY 1),
-nb AS (SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY dst) AS pos FROM he),
-w0 AS (SELECT src AS start, r + 1 AS rep, src AS cur, src AS path FROM deg, range({PATHS}) x(r)),
+    return HETERO.replace("he AS (", "he AS MATERIALIZED (") + f""",
+deg AS MATERIALIZED (SELECT src, count(*) AS deg FROM he GROUP BY 1),
+nb AS MATERIALIZED (SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY dst) AS pos FROM he),
+w0 AS MATERIALIZED (SELECT src AS start, r + 1 AS rep, src AS cur, src AS path FROM deg, range({PATHS}) x(r)),
 {steps}"""
 
 
@@ -200,7 +194,7 @@ def pagerank(t):
 
 @query("pagerank_converged")
 def pagerank_converged(t):
-    return SN.rank_vertices(G.pagerank(V.snapshot_edges(t), "snap", 30))
+    return SN.rank_vertices(G.pagerank(V.snapshot_edges(t), "snap", 20, tol=1e-9))
 
 
 @query("rank_vertices", PR + f""" SELECT snap, id, CAST(row_number() OVER (PARTITION BY snap ORDER BY round(rank, 12) DESC, id) AS BIGINT) AS place FROM r{ROUNDS}""")

@@ -14,6 +14,14 @@ from .views import HOURLY
 
 H = f"WITH {HOURLY}"
 HORIZONS = {"d6": 6, "d12": 12, "d24": 24}
+#: The series is cut at a third and two thirds of its span.
+LOW, HIGH = "(SELECT (max(t) + 1) // 3 FROM hourly)", "(SELECT 2 * (max(t) + 1) // 3 FROM hourly)"
+
+
+def cuts(t) -> tuple[int, int, int]:
+    """A third, two thirds and the end of the hourly series."""
+    end = (V.hourly(t).agg(F.max("t")).first()[0] or 0) + 1
+    return end // 3, 2 * end // 3, end
 
 
 def sql_windows(name: str, size: int) -> str:
@@ -25,28 +33,30 @@ def sql_windows(name: str, size: int) -> str:
 
 def sql_kernel(out: str, win: str, where: str) -> str:
     return f"""{out} AS (SELECT q.t, sum(r.y * exp(2 * list_dot_product(q.z, r.z))) / sum(exp(2 * list_dot_product(q.z, r.z))) AS yhat
-  FROM {win} q, {win} r WHERE {where} AND r.t < 240 GROUP BY 1)"""
+  FROM {win} q, {win} r WHERE {where} AND r.t < {LOW} GROUP BY 1)"""
 
 
 def horizon_predictions(t, low: int, high: int):
-    """Kernel estimates of all horizons for rows low <= t < high, trained on t < 240, with the target."""
+    """Kernel estimates of all horizons for rows low <= t < high, trained on the first third, with the target."""
+    first = F.col("t") < cuts(t)[0]
     series = V.hourly(t)
     preds, target = {}, None
     for name, size in HORIZONS.items():
         w = S.windows(series, "total", size)
         target = w.where((F.col("t") >= low) & (F.col("t") < high))
-        preds[name] = G.kernel_predict(target, w.where("t < 240"), 2.0)
+        preds[name] = G.kernel_predict(target, w.where(first), 2.0)
     return G.stack_horizons(preds, target)
 
 
-@query("kernel_predict", f"{H},\n{sql_windows('w', 12)},\n{sql_kernel('k', 'w', 'q.t >= 240')} SELECT t, round(yhat, 5) AS yhat FROM k")
+@query("kernel_predict", f"{H},\n{sql_windows('w', 12)},\n{sql_kernel('k', 'w', 'q.t >= ' + LOW)} SELECT t, round(yhat, 5) AS yhat FROM k")
 def kernel_predict(t):
     w = S.windows(V.hourly(t), "total", 12)
-    return G.kernel_predict(w.where("t >= 240"), w.where("t < 240"), 2.0).withColumn("yhat", F.round("yhat", 5))
+    low = cuts(t)[0]
+    return G.kernel_predict(w.where(F.col("t") >= low), w.where(F.col("t") < low), 2.0).withColumn("yhat", F.round("yhat", 5))
 
 
 HORIZON_SQL = H + "".join(
-    f",\n{sql_windows(n, k)},\n{sql_kernel('p' + n, n, 'q.t >= 240 AND q.t < 480')}" for n, k in HORIZONS.items()
+    f",\n{sql_windows(n, k)},\n{sql_kernel('p' + n, n, 'q.t >= ' + LOW + ' AND q.t < ' + HIGH)}" for n, k in HORIZONS.items()
 )
 
 
@@ -54,14 +64,16 @@ HORIZON_SQL = H + "".join(
 SELECT t, round(y, 5) AS y, round(pd6.yhat, 5) AS d6, round(pd12.yhat, 5) AS d12, round(pd24.yhat, 5) AS d24
 FROM d24 JOIN pd6 USING (t) JOIN pd12 USING (t) JOIN pd24 USING (t)""")
 def horizon_stack(t):
-    return horizon_predictions(t, 240, 480).select("t", *[F.round(c, 5).alias(c) for c in ("y", "d6", "d12", "d24")])
+    low, high, _ = cuts(t)
+    return horizon_predictions(t, low, high).select("t", *[F.round(c, 5).alias(c) for c in ("y", "d6", "d12", "d24")])
 
 
 @query("forecast_mse")
 def forecast_mse(t):
     """Weights fitted on the second period, error measured on the third."""
-    fit = G.ols(horizon_predictions(t, 240, 480), "y", list(HORIZONS))
-    test = G.ols_predict(horizon_predictions(t, 480, 1 << 40), fit)
+    low, high, end = cuts(t)
+    fit = G.ols(horizon_predictions(t, low, high), "y", list(HORIZONS))
+    test = G.ols_predict(horizon_predictions(t, high, end), fit)
     return M.mse(test, "actual", "predicted")
 
 
@@ -118,9 +130,10 @@ d AS (SELECT c.nm, c.v - b.v AS dy, b.v AS x, b.v - a.v AS dx FROM
   JOIN (UNPIVOT (SELECT t, click, view FROM hourly) ON click, view INTO NAME nm VALUE v) a ON a.nm = c.nm AND a.t = c.t - 2),
 s AS (SELECT nm, count(*) AS n, sum(x * x) AS xx, sum(x * dx) AS xd, sum(dx * dx) AS dd, sum(x * dy) AS xy, sum(dx * dy) AS dy, sum(dy * dy) AS yy FROM d GROUP BY 1),
 b AS (SELECT *, (xy * dd - dy * xd) / (xx * dd - xd * xd) AS b1, (dy * xx - xy * xd) / (xx * dd - xd * xd) AS b2 FROM s)
-SELECT nm AS name, CAST(n AS BIGINT) AS n, round(b1 / sqrt((yy - b1 * xy - b2 * dy) / (n - 2) * dd / (xx * dd - xd * xd)), 5) AS tau FROM b""")
+SELECT nm AS name, CAST(n AS BIGINT) AS n, round(b1 / sqrt((yy - b1 * xy - b2 * dy) / (n - 2) * dd / (xx * dd - xd * xd)), 5) AS tau,
+  tau < -1.95 AS stationary FROM b""")
 def adf(t):
-    return C.adf(V.hourly(t), ["click", "view"]).select("name", "n", F.round("tau", 5).alias("tau"))
+    return C.adf(V.hourly(t), ["click", "view"]).select("name", "n", F.round("tau", 5).alias("tau"), "stationary")
 
 
 @query("ks", """WITH u AS (SELECT value AS v, 1 AS a, 0 AS b FROM events WHERE event_type = 'click'
@@ -135,7 +148,7 @@ def ks(t):
 
 @query("ks_norm")
 def ks_norm(t):
-    return C.ks_norm(_var(t).residuals(), "click", standardize=True)
+    return C.ks_norm(_var(t).residuals(), "click")
 
 
 NAMES = ("click", "purchase", "total", "view")
@@ -154,12 +167,17 @@ def corr_matrix(t):
 f AS (SELECT a, b, r, n FROM c UNION ALL SELECT b, a, r, n FROM c),
 p AS (SELECT a, b, '' AS cond, r, n, 0 AS k FROM c
   UNION ALL SELECT c.a, c.b, x.b, (c.r - x.r * y.r) / sqrt((1 - x.r * x.r) * (1 - y.r * y.r)), c.n, 1
-  FROM c JOIN f x ON x.a = c.a JOIN f y ON y.a = c.b AND y.b = x.b WHERE x.b <> c.b)
-SELECT a, b, cond, round(r, 6) AS r, round(sqrt(n - k - 3) * abs(atanh(r)), 5) AS z FROM p""")
+  FROM c JOIN f x ON x.a = c.a JOIN f y ON y.a = c.b AND y.b = x.b WHERE x.b <> c.b),
+one AS (SELECT f.a, f.b, x.b AS x, (f.r - x.r * y.r) / sqrt((1 - x.r * x.r) * (1 - y.r * y.r)) AS r, f.n
+  FROM f JOIN f x ON x.a = f.a JOIN f y ON y.a = f.b AND y.b = x.b WHERE x.b <> f.b),
+two AS (SELECT o.a, o.b, o.x || ',' || p.b AS cond, (o.r - p.r * q.r) / sqrt((1 - p.r * p.r) * (1 - q.r * q.r)) AS r, o.n, 2 AS k
+  FROM one o JOIN one p ON p.a = o.a AND p.x = o.x JOIN one q ON q.a = o.b AND q.x = o.x AND q.b = p.b WHERE o.a < o.b AND p.b <> o.b AND o.x < p.b),
+z AS (SELECT a, b, cond, r, sqrt(n - k - 3) * abs(atanh(r)) AS z FROM (SELECT * FROM p UNION ALL SELECT * FROM two))
+SELECT a, b, cond, round(r, 6) AS r, round(z, 5) AS z, z < 1.959963984540054 AS independent FROM z""")
 def ci_tests(t):
     h = V.hourly(t)
-    out = C.ci_tests(C.corr_matrix(h, list(NAMES)), h.count(), 0.05, 1)
-    return out.select("a", "b", F.concat_ws(",", "cond").alias("cond"), F.round("r", 6).alias("r"), F.round("z", 5).alias("z"))
+    out = C.ci_tests(C.corr_matrix(h, list(NAMES)), h.count(), 0.05)
+    return out.select("a", "b", F.concat_ws(",", "cond").alias("cond"), F.round("r", 6).alias("r"), F.round("z", 5).alias("z"), "independent")
 
 
 @query("pc_graph")

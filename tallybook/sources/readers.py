@@ -119,13 +119,14 @@ def read_query_lines(spark: SparkSession, path: str) -> DataFrame:
     return number_lines(spark, path, "seq").select("seq", F.trim("value").alias("keyword"))
 
 
-def number_lines(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """Lines with their 0-based number, over all files of ``path`` in name order."""
+def number_lines(spark: SparkSession, path: str, name: str, only: Column | None = None) -> DataFrame:
+    """Lines with their 0-based number, over all files of ``path`` in name order; ``only`` leaves out lines before they are numbered."""
     from ..operators.ordering import rank_within
 
     raw = spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_i")
     )
+    raw = raw if only is None else raw.where(only)
     ranked = rank_within(raw, [], [F.asc("_f"), F.asc("_b"), F.asc("_i")], name)
     return ranked.select((F.col(name) - 1).alias(name), "value")
 
@@ -157,9 +158,12 @@ def read_image_tags(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_patches(spark: SparkSession, folder: str, tags: DataFrame) -> DataFrame:
-    """Binary patch files ``<name>.<ext>`` of tagged images: (name, content). Images without a file are missing."""
+    """Binary patch files ``<name>.<ext>``, or part files in a folder ``name=<name>``, of tagged images: (name, content).
+
+    Images without a file are missing.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    named = files.select(F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1).alias("name"), "content")
+    named = files.select(F.regexp_extract("path", r"([^/=]+)(?:/part-[^/]*|\.[^./]+)$", 1).alias("name"), "content")
     return named.join(tags.select("name").distinct(), "name", "left_semi")
 
 
@@ -204,16 +208,16 @@ def read_vertex_attrs(spark: SparkSession, path: str, n_attrs: int) -> DataFrame
 
 
 def read_vertex_rows(spark: SparkSession, path: str) -> DataFrame:
-    """Header CSV without ids: the row number (0-based) is the vertex id."""
-    lines = number_lines(spark, path, "line")
-    attrs = F.when(F.col("line") > 0, F.split("value", ",").cast("array<double>"))
-    return lines.select((F.col("line") - 1).alias("id"), attrs.alias("attrs")).where("id >= 0")
+    """Header CSV without ids, in one or more files: the row number (0-based) is the vertex id. Each file has its header line."""
+    lines = number_lines(spark, path, "id", F.col("value").rlike(r"^[\d.,eE+\-]+$"))
+    return lines.select("id", F.split("value", ",").cast("array<double>").alias("attrs"))
 
 
 def read_communities(spark: SparkSession, path: str) -> DataFrame:
-    """Line i lists the vertices of community i."""
-    return number_lines(spark, path, "comm").select(
-        F.explode(F.split("value", r",\s*")).alias("id"), "comm"
+    """Line i lists the vertices of community i; a line may name its community before a tab instead."""
+    named = F.when(F.instr("value", "\t") > 0, F.substring_index("value", "\t", 1).cast("bigint"))
+    return number_lines(spark, path, "_line").select(
+        F.explode(F.split(F.substring_index("value", "\t", -1), r",\s*")).alias("id"), F.coalesce(named, "_line").alias("comm")
     ).select(F.col("id").cast("bigint").alias("id"), "comm")
 
 

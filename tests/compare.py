@@ -29,7 +29,7 @@ def _norm(v):
 
 def rows(names, data):
     order = sorted(range(len(names)), key=lambda i: names[i])
-    return [names[i] for i in order], sorted(tuple(_norm(r[i]) or "" for i in order) for r in data)
+    return [names[i] for i in order], sorted(tuple("\0null" if r[i] is None else _norm(r[i]) for i in order) for r in data)
 
 
 def check(spark, con, folder: str, name: str, fn, sql: str | None) -> str:

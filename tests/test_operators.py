@@ -1,3 +1,4 @@
+import hashlib
 import itertools
 import math
 import random
@@ -62,7 +63,9 @@ def test_expand_in_blocks(spark):
 def test_items_by_user_in_chunks(spark):
     df = spark.range(100).select(F.lit(1).alias("user_id"), F.col("id").alias("item_id"))
     rows = O.items_by_user(df, chunk=30).collect()
-    assert len(rows) == 4 and sorted(i for r in rows for i in r["items"]) == list(range(100))
+    assert {r["chunk"]: r["items"] for r in rows} == {k: list(range(30 * k, min(100, 30 * k + 30))) for k in range(4)}
+    long = O.items_by_user(spark.range(25_000).select(F.lit(1).alias("user_id"), F.col("id").alias("item_id"))).collect()
+    assert sorted((r["chunk"], len(r["items"])) for r in long) == [(0, 10_000), (1, 10_000), (2, 5_000)]
 
 
 def test_split_covers_all(spark):
@@ -286,12 +289,30 @@ def test_simhash_similarity_range(spark):
     rows = [(s, a, b) for s in range(4) for a, b in itertools.combinations(range(5 + s), 2)]
     e = spark.createDataFrame(rows, "snap long, src long, dst long")
     prints = SN.simhash(SN.shingle(e))
-    for r in prints.collect():
-        assert int("".join(map(str, r["bits"])), 2) == r["fingerprint"] % (1 << 64)
+    assert all(len(r["bits"]) == 64 for r in prints.collect())
     sims = [r["sim"] for r in SN.snapshot_similarity(prints).collect()]
     assert len(sims) == 3 and all(0 <= s <= 1 for s in sims)
 
 
+@pytest.mark.parametrize("bits", [64, 128, 160, 300])
+def test_simhash_at_any_width(spark, bits):
+    """Bits of md5(token), then of md5(token|1) and so on; the similarity counts all of them."""
+    tokens = [(s, i, 1 + (i * 7 + s) % 5) for s in (0, 1) for i in range(s * 30, s * 30 + 60)]
+    prints = SN.simhash(spark.createDataFrame(tokens, "snap long, token long, weight long"), bits=bits)
+    want = {}
+    for s in (0, 1):
+        sums = [0] * bits
+        for snap, tok, w in tokens:
+            if snap == s:
+                text = "".join(hashlib.md5((str(tok) if k == 0 else f"{tok}|{k}").encode()).hexdigest() for k in range(-(-bits // 128)))
+                for i, b in enumerate(bin(int(text, 16))[2:].zfill(4 * len(text))[:bits]):
+                    sums[i] += w * (2 * int(b) - 1)
+        want[s] = [int(x >= 0) for x in sums]
+    assert {r["snap"]: r["bits"] for r in prints.collect()} == want
+    same = sum(a == b for a, b in zip(want[0], want[1], strict=True)) / bits
+    assert abs(SN.snapshot_similarity(prints).first()["sim"] - same) < 1e-12
+
+
 def test_same_snapshot_is_identical(spark):
     rows = [(s, 1, b) for s in (0, 1) for b in range(2, 9)]
     e = spark.createDataFrame(rows, "snap long, src long, dst long")

@@ -101,13 +101,15 @@ def test_walk_files_are_reused(spark, folder):
     assert {tuple(r["path"]) for r in R.read_walks(spark, folder).select("path").collect()} == {("new",)}
 
 
-def test_community_folders(spark, folder):
+def test_communities_in_chunks(spark, folder):
     comm = spark.createDataFrame([(i, i % 3) for i in range(12)], "id long, comm long")
     S.write_communities(comm, f"{folder}/a")
     assert sorted(map(tuple, R.read_communities(spark, f"{folder}/a").collect())) == sorted((i, i % 3) for i in range(12))
-    S.write_communities(comm, f"{folder}/b", layout="folders")
-    got = spark.read.text(f"{folder}/b").selectExpr("cast(value as long) id", "cast(comm as long) comm")
-    assert sorted(map(tuple, got.collect())) == sorted((i, i % 3) for i in range(12))
+    S.write_communities(comm, f"{folder}/b", chunk=2)
+    assert spark.read.text(f"{folder}/b").count() == 6
+    assert sorted(map(tuple, R.read_communities(spark, f"{folder}/b").collect())) == sorted((i, i % 3) for i in range(12))
+    spark.createDataFrame([("1, 2",), ("3",)], "value string").coalesce(1).write.text(f"{folder}/c")
+    assert sorted(map(tuple, R.read_communities(spark, f"{folder}/c").collect())) == [(1, 0), (2, 0), (3, 1)]
 
 
 def test_single_file_logs(spark, folder):
