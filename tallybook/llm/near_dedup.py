@@ -3,9 +3,10 @@
 1. One pass over the texts writes for each document the number of its shingles, a 128-bit key of its shingle set, a
    signature of one byte per hash function and the band keys of the full hash values.
 2. Documents with equal sets are one class; only its smallest doc_id goes on.
-3. Classes that share a band key are candidates. In ``STARS`` rounds each class meets one of its buckets' leaders, the one that
-   it shares most bands with, so a group of copies costs a pair per copy. Only members of a bucket that are in different
-   components after that meet each other, in blocks of bounded size.
+3. Classes that share a band key are candidates. In a bucket of up to ``SMALL`` classes all meet. In larger ones each class meets,
+   in ``STARS`` rounds, one of its buckets' leaders, the one that it shares most bands with, so a group of copies costs a pair per
+   copy. Only classes of a large bucket that are in different components after that meet each other: in blocks of bounded
+   size inside a task, which compares signatures, then full shingle sets, and returns no more links than join components.
 4. A candidate pair is compared one batch of signature bytes after another and pruned as soon as the posterior
    probability (uniform prior) that its similarity reaches the threshold is below ``MISS``. Survivors are confirmed on
    their full shingle sets, as sets of words, so no false link gets through.
@@ -20,27 +21,27 @@ null one never represents others and is its own (null) component. Further column
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 from math import comb
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.graph import components
-from .common import blob, cut, map_batches, table
+from .common import blob, cut, map_batches, map_stream, table
 from .registry import query
 
 SHINGLE, BANDS, ROWS, BATCH = 5, 36, 4, 16
 THRESHOLD = (75, 100)
 MISS = 1e-7
-#: Rounds against leaders (smallest and largest member by turns) before all members of different components meet.
-STARS = 4
-#: Members of a bucket that meet in one group of the block round.
-BLOCK = 256
+#: Classes of a bucket that all meet; rounds against leaders (smallest and largest member by turns) in larger buckets.
+SMALL, STARS = 16, 2
+#: Members of a bucket that meet in one group of the block round, and rows of such groups compared at once.
+BLOCK, CHUNK_ROWS = 256, 4096
 _SEED = np.random.default_rng(20240601)
 _A = _SEED.integers(0, 1 << 32, BANDS * ROWS, np.uint64).astype(np.uint32) | np.uint32(1)
 _B = _SEED.integers(0, 1 << 32, BANDS * ROWS, np.uint64).astype(np.uint32)
@@ -190,27 +191,109 @@ def confirm(pairs: DataFrame, texts: DataFrame, num: int, den: int) -> DataFrame
     return map_batches(both, run, "a bigint, b bigint")
 
 
-def _block_pairs(rest: DataFrame, threshold: float, miss: float) -> DataFrame:
-    """Plausible pairs of different components among ``rest(key, n, node, comp, sig)``, block against block."""
-    blocks = F.ceil(F.col("n") / BLOCK)
-    own = F.pmod(F.xxhash64("node"), blocks)
-    placed = rest.select(
-        "key", "node", "comp", "sig", own.alias("own"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)).alias("other"),
-    ).select("key", "node", "comp", "sig", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-
-    def meet(g: pd.DataFrame) -> pd.DataFrame:
-        i, j = g["i"].iat[0], g["j"].iat[0]
-        sig, node, comp = _stack(g["sig"].tolist()), g["node"].to_numpy(), g["comp"].to_numpy()
-        one, two = (np.flatnonzero(g["own"].to_numpy() == k) for k in (i, j))
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """(node, set): the distinct 64-bit shingle hashes of ``texts(node, text)``, sorted, as bytes."""
+
+    def run(b: pa.RecordBatch) -> pa.RecordBatch:
+        known = WordHashes()
+        sets = [shingle_hashes((t or b"").lower().split(), known).tobytes() for t in blob(b.column("text"))]
+        return pa.RecordBatch.from_arrays([b.column("node"), pa.array(sets, pa.binary())], ["node", "set"])
+
+    return map_batches(texts.select("node", "text"), run, "node bigint, set binary")
+
+
+class _Block:
+    """Rows of block groups, compared together: ``links`` joins components of which a pair reaches the threshold."""
+
+    def __init__(self, t: pa.Table, threshold: tuple[int, int], miss: float):
+        self.num, self.den, self.miss = *threshold, miss
+        self.key, self.node, self.comp, self.own, self.i, self.j = (t.column(c).to_numpy() for c in ("key", "node", "comp", "own", "i", "j"))
+        self.sig = _stack(t.column("sig").to_pylist())
+        self.bands = np.stack(t.column("bands").to_numpy(zero_copy_only=False))
+        self.raw = t.column("set").to_pylist()
+        self.sets: dict[int, set[int]] = {}
+
+    def set_of(self, x: int) -> set[int]:
+        if x not in self.sets:
+            self.sets[x] = set(np.frombuffer(self.raw[x], np.uint64).tolist())
+        return self.sets[x]
+
+    def candidates(self) -> tuple[np.ndarray, np.ndarray]:
+        """Plausible pairs of different components, each only under the least band key that its members share."""
+        n = len(self.key)
+        new = np.flatnonzero((self.key[1:] != self.key[:-1]) | (self.i[1:] != self.i[:-1]) | (self.j[1:] != self.j[:-1])) + 1
+        ends = np.repeat(np.append(new, n), np.diff(np.concatenate(([0], new, [n]))))
+        count = ends - np.arange(n) - 1
+        x = np.repeat(np.arange(n), count)
+        y = np.arange(len(x)) - np.repeat(np.cumsum(count) - count, count) + x + 1
+        ok = (self.comp[x] != self.comp[y]) & ((self.i[x] == self.j[x]) | (self.own[x] != self.own[y]))
+        x, y = x[ok], y[ok]
+        least = least_matches(self.num / self.den, self.miss)
+        equal = np.zeros(len(x), np.int32)
+        for k, m in enumerate(least):
+            at = slice(k * BATCH, (k + 1) * BATCH)
+            equal = equal + (self.sig[x, at] == self.sig[y, at]).sum(axis=1, dtype=np.int32)
+            stay = equal >= m
+            x, y, equal = x[stay], y[stay], equal[stay]
+        first = np.where(self.bands[x] == self.bands[y], self.bands[x], np.iinfo(np.int64).max).min(axis=1, initial=np.iinfo(np.int64).max)
+        ok = first == self.key[x]
+        return x[ok], y[ok]
+
+    def links(self) -> list[tuple[int, int]]:
+        up: dict[int, int] = {}
+
+        def root(c: int) -> int:
+            while up.get(c, c) != c:
+                up[c] = c = up.get(up[c], up[c])
+            return c
+
         out = []
-        for x in one:
-            y = two[(comp[two] != comp[x]) & ((node[two] > node[x]) | (i != j))]
-            y = y[plausible(np.broadcast_to(sig[x], (len(y), sig.shape[1])), sig[y], threshold, miss)]
-            out += [(min(node[x], node[k]), max(node[x], node[k])) for k in y]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+        for x, y in zip(*(v.tolist() for v in self.candidates()), strict=True):
+            p, q = root(int(self.comp[x])), root(int(self.comp[y]))
+            if p == q:
+                continue
+            one, two = self.set_of(x), self.set_of(y)
+            common = len(one & two)
+            if self.den * common >= self.num * (len(one) + len(two) - common):
+                up[max(p, q)] = min(p, q)
+                out.append((int(self.node[x]), int(self.node[y])))
+        return out
+
 
-    return placed.groupBy("key", "i", "j").applyInPandas(meet, "a bigint, b bigint").distinct()
+def _block_links(rest: DataFrame, threshold: tuple[int, int], miss: float) -> DataFrame:
+    """Links (a, b) between different components among ``rest(key, n, node, comp, sig, bands, set)``, block against block."""
+    blocks = F.ceil(F.col("n") / BLOCK)
+    own = F.pmod(F.xxhash64("node"), blocks)
+    cols = ["key", "node", "comp", "sig", "bands", "set", "own"]
+    placed = rest.withColumn("own", own).select(*cols, F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)).alias("other")).select(
+        *cols, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    at = ["key", "i", "j"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def flush(last: bool) -> Iterator[pa.RecordBatch]:
+            t = pa.Table.from_batches(held)
+            held.clear()
+            whole = t.num_rows
+            if not last:  # the last group may go on
+                key, i, j = (t.column(c).to_numpy() for c in at)
+                before = np.flatnonzero((key != key[-1]) | (i != i[-1]) | (j != j[-1]))
+                whole = int(before[-1]) + 1 if len(before) else 0
+                held.extend(t.slice(whole).to_batches())
+            if whole:
+                found = _Block(t.slice(0, whole), threshold, miss).links()
+                yield pa.RecordBatch.from_arrays([pa.array([min(p) for p in found], pa.int64()), pa.array([max(p) for p in found], pa.int64())], ["a", "b"])
+
+        for b in batches:
+            for k in range(0, b.num_rows, CHUNK_ROWS):
+                held.append(b.slice(k, CHUNK_ROWS))
+                if sum(h.num_rows for h in held) >= CHUNK_ROWS:
+                    yield from flush(False)
+        if held:
+            yield from flush(True)
+
+    return map_stream(placed.repartition(*at).sortWithinPartitions(*at), run, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(
@@ -240,6 +323,8 @@ def near_duplicates(
 
     def joined(links: DataFrame, comp: DataFrame) -> DataFrame:
         """``comp`` after the components that ``links`` connect became one."""
+        if not links.take(1):
+            return comp
         ends = links.join(comp.select(F.col("node").alias("a"), F.col("comp").alias("src")), "a").join(
             comp.select(F.col("node").alias("b"), F.col("comp").alias("dst")), "b")
         new = components(ends.select("src", "dst").where("src <> dst")).select(F.col("id").alias("comp"), F.col("comp").alias("to"))
@@ -251,16 +336,21 @@ def near_duplicates(
         apart = at.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
         return cut(at.join(apart, "key", "left_semi"))
 
+    few = at.where(F.col("n") <= SMALL).groupBy("key").agg(F.array_sort(F.collect_list("node")).alias("m"))
+    met = few.select(F.explode(F.flatten(F.transform("m", lambda x, i: F.transform(F.slice("m", i + 2, SMALL), lambda y: F.struct(x.alias("a"), y.alias("b"))))))
+                     .alias("p")).select("p.a", "p.b").distinct()
+    at = at.where(F.col("n") > SMALL)
     for k in range(STARS):
         pick = (F.min_by, F.max_by)[k % 2]
         heads = at.groupBy("key").agg(pick("node", "node").alias("head"), pick("comp", "node").alias("head_comp"))
         star = at.join(heads, "key").where("comp <> head_comp").groupBy("head", "node").agg(F.count("*").alias("c"))
         best = star.groupBy("node").agg(F.max_by("head", F.struct("c", "head")).alias("head"))
-        links = linked(best.select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b")).distinct())
-        comp = joined(links, comp)
+        pairs = best.select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b"))
+        comp = joined(linked((pairs.unionByName(met) if k == 0 else pairs).distinct()), comp)
         at = open_buckets(at, comp)
-    rest = at.join(sigs, "node")
-    comp = joined(linked(_block_pairs(rest, share, miss)), comp).withColumnRenamed("node", "id")
+    nodes = at.select("node").distinct()
+    rest = at.join(reps.join(shingle_sets(texts.join(nodes, "node", "left_semi")), "node"), "node")
+    comp = joined(linked(_block_links(rest, threshold, miss)), comp).withColumnRenamed("node", "id")
     found = classes.join(comp.withColumnRenamed("id", "node"), "node", "left").select(*keys, "node", "comp")
     return every.select("doc_id", *keys).join(found, keys, "left").select(
         "doc_id", "n_shingles", F.coalesce("node", "doc_id").alias("class_id"), F.coalesce("comp", "node", "doc_id").alias("component_id"))
