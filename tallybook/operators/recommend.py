@@ -14,10 +14,9 @@ from .facts import candidates_by_rank, except_keys
 from .ordering import rank_within
 
 
-def train_implicit(train: DataFrame, rank: int, seed: int = 345, blocks: int | None = None) -> ALSModel:
+def train_implicit(train: DataFrame, rank: int, seed: int = 345, blocks: int = 16) -> ALSModel:
     """Implicit matrix factorisation with 5 iterations, lambda 0.01 and alpha 0.01. Repeated pairs are
-    summed first; factor blocks follow the number of cores unless given."""
-    blocks = blocks or max(4, train.sparkSession.sparkContext.defaultParallelism // 2)
+    summed first. The model depends on the number of factor blocks, so that does not follow the cores."""
     als = ALS(
         rank=rank, maxIter=5, regParam=0.01, alpha=0.01, implicitPrefs=True, seed=seed,
         numUserBlocks=blocks, numItemBlocks=blocks,

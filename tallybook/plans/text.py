@@ -233,7 +233,7 @@ def logreg(t):
 
 @query("doc_vectors")
 def doc_vectors(t):
-    d = TC.doc_vectors(V.labeled_docs(t), size=100, window=10, iters=1, seed=5)
+    d = TC.doc_vectors(V.labeled_docs(t), size=100, window=10, iters=5, seed=5)
     train = d.select("doc_id", F.col("label").cast("double").alias("label"), "split", F.col("vector").alias("features"))
     train = cut(train)
     m = TC.logreg(train.where("split = 'train'"))
