@@ -40,6 +40,31 @@ _SPLIT = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N
 _OTHER = re.compile(r"[^\t\n\r -~¡-ɏ‐-‧]|<\|")
 
 
+def _byte_of() -> dict[str, int]:
+    """The characters that stand for bytes in byte-level vocabularies: printable Latin-1 for itself, the rest from U+0100 on."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(sorted(set(range(256)) - set(plain)))}
+
+
+def _word_encoder(path: str):
+    """A quick encoder of single words over the same vocabulary, or None if its merges are not in the order of ids."""
+    import json
+
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    if model.get("type") != "BPE":
+        return None
+    vocab, byte = model["vocab"], _byte_of()
+    merged = [vocab.get("".join(m if isinstance(m, list) else m.split(" "))) for m in model["merges"]]
+    if any(c not in vocab for c in byte) or merged != sorted(x for x in merged if x is not None):
+        return None
+    known = set(merged) | {vocab[c] for c in byte}
+    ranks = {bytes(byte[c] for c in w): i for w, i in vocab.items() if i in known}
+    return tiktoken.Encoding("words", pat_str="(?s).+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+
 class Encoder(dict):
     """Ids of split words as packed bytes, remembered up to a bound."""
 
@@ -48,11 +73,12 @@ class Encoder(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.code = Tokenizer.from_file(path), code
+        self.word = _word_encoder(path) or (lambda w: self.tokenizer.encode(w, add_special_tokens=False).ids)
 
     def __missing__(self, word: str) -> bytes:
         if len(self) > 1_000_000:
             self.clear()
-        self[word] = got = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.code).tobytes()
+        self[word] = got = np.array(self.word(word), self.code).tobytes()
         return got
 
     def ids(self, text: str | None, end: bytes) -> bytes:
@@ -186,7 +212,7 @@ def pack(
     code = _code(path)
     rows = cut(tokenized(docs, path, doc_id, text, end_id))
     total = rows.agg(F.sum("n")).first()[0] or 0
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // (8 * BLOCK_TOKENS)))
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // (2 * BLOCK_TOKENS)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(window, TaskContext.get().partitionId() << 36)
