@@ -3,15 +3,15 @@
 1. One pass over the texts writes for each document the number of its shingles, a 128-bit key of its shingle set, a
    signature of one byte per hash function and the band keys of the full hash values.
 2. Documents with equal sets are one class; only its smallest doc_id goes on.
-3. Classes that share a band key are candidates. In a bucket of up to ``SMALL`` classes all meet. In larger ones each class meets,
-   in ``STARS`` rounds, one of its buckets' leaders, the one that it shares most bands with, so a group of copies costs a pair per
+3. Classes that share a band key are candidates. In a bucket of up to ``SMALL`` classes all meet. In larger ones each class first
+   meets, in ``STARS`` rounds, one of its buckets' leaders, the one that it shares most bands with, so a group of copies costs a pair per
    copy. Only classes of a large bucket that are in different components after that meet each other: in blocks of bounded
    size inside a task, which compares signatures, then full shingle sets, and returns no more links than join components.
 4. A candidate pair is compared one batch of signature bytes after another and pruned as soon as the posterior
    probability (uniform prior) that its similarity reaches the threshold is below ``MISS``. Survivors are confirmed on
    their full shingle sets, as sets of words, so no false link gets through.
 
-Miss probability: a pair at exactly the threshold shares no band with probability (1 - 0.75^4)^26 = 5e-5 (6e-6 at 0.78), and is pruned
+Miss probability: a pair at exactly the threshold shares no band with probability (1 - 0.75^4)^28 = 2.4e-5 (2.4e-6 at 0.78), and is pruned
 with about ``MISS`` per batch.
 
 Defined results: a null or empty text, or one of white space, has no shingles and is linked with nothing; a text of fewer
@@ -35,11 +35,11 @@ from ..operators.graph import components
 from .common import blob, cut, map_batches, map_stream, table
 from .registry import query
 
-SHINGLE, BANDS, ROWS, BATCH = 5, 26, 4, 13
+SHINGLE, BANDS, ROWS, BATCH = 5, 28, 4, 16
 THRESHOLD = (75, 100)
 MISS = 1e-7
-#: Classes of a bucket that all meet; rounds against leaders (smallest and largest member by turns) in larger buckets.
-SMALL, STARS = 16, 2
+#: Classes of a bucket that all meet; rounds against leaders (smallest, then largest member) in larger buckets.
+SMALL, STARS = 16, 1
 #: Members of a bucket that meet in one group of the block round, and rows of such groups compared at once.
 BLOCK, CHUNK_ROWS = 256, 4096
 _SEED = np.random.default_rng(20240601)
