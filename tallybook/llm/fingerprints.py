@@ -18,6 +18,9 @@ repeated doc_id is followed by its repetition (ties by text); the only document
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -28,8 +31,9 @@ from .registry import query
 WORDS = 8
 #: Tables of a sketch, and cells of each in the fingerprint string.
 TABLES, BASE = 4, 4
-#: Rows of a range of ids, and cells of the id histogram that ranges are made of.
-RANGE_ROWS, CELLS = 2048, 65_536
+#: Rows of a range of ids, of a task, and cells of the id histogram that ranges are made of. The cells of a task's sketches are
+#: summed in memory, some 100 KB a row.
+RANGE_ROWS, TASK_ROWS, CELLS = 128, 256, 65_536
 #: Peeling steps, one table each, before a pair counts as stuck.
 PEELS = 16
 _PIECE = rf"(?:[^\s]*[^\s.!?][^\S\n]+){{0,{WORDS - 1}}}[^\s]+"
@@ -114,7 +118,10 @@ def _numbers(values: list[int], kind: str) -> Column:
 
 
 def in_ranges(docs: DataFrame, doc_id: str) -> DataFrame:
-    """``docs`` with ``_key`` (order of ids), ``_range`` and ``_border``; the first row of a range comes again as the border of the range before."""
+    """``docs`` with ``_key`` (order of ids), ``_range`` and ``_border``, partitioned by range.
+
+    The first row of a range comes again as the border of the range before.
+    """
     key = F.coalesce(F.col(doc_id).cast("bigint"), F.lit(-(1 << 63)))
     keyed = docs.withColumn("_key", key)
     low, high, n = keyed.agg(F.min("_key"), F.max("_key"), F.count("*")).first()
@@ -136,8 +143,9 @@ def in_ranges(docs: DataFrame, doc_id: str) -> DataFrame:
     first = F.element_at(_numbers(firsts, "bigint"), F.col("_r") + 1) == F.col("_key")
     back = F.struct(F.when(F.col("_r") == 0, before).otherwise(F.col("_r") - 1).alias("r"), F.lit(True).alias("b"))
     own = F.struct(F.col("_r").alias("r"), F.lit(False).alias("b"))
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // TASK_ROWS))
     return keyed.withColumn("_r", r).withColumn("_p", F.explode(F.when(first, F.array(own, back)).otherwise(F.array(own)))).select(
-        *docs.columns, "_key", F.col("_p.r").alias("_range"), F.col("_p.b").alias("_border"))
+        *docs.columns, "_key", F.col("_p.r").alias("_range"), F.col("_p.b").alias("_border")).repartition(parts, "_range")
 
 
 def _decoded(rows: DataFrame, keys: list[str], seed: int = 0) -> DataFrame:
@@ -149,6 +157,18 @@ def _decoded(rows: DataFrame, keys: list[str], seed: int = 0) -> DataFrame:
     return found.groupBy(*keys).agg(*[F.max(F.when(F.col("kind") == k, F.col(c))).alias(f"{c}{k}") for k in (0, 1) for c in ("d", "stuck")])
 
 
+@contextmanager
+def _plain_maps(spark: SparkSession) -> Iterator[None]:
+    """Aggregations without the small map in front of each: a stage of many of them would reserve a page for each."""
+    name = "spark.sql.codegen.aggregate.map.twolevel.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def _edited() -> Column:
     return F.expr("concat(substring(text, 1, int(n_chars - n_chars div 2)), substring(next, 1, int(n_chars div 2)))")
 
@@ -173,9 +193,11 @@ def compare_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         fingerprint(F.col("a"), F.col("text")).alias("fingerprint"), fingerprint(F.col("e"), F.col("edited")).alias("edited_fingerprint"),
         F.size("a").alias("na"), F.size("e").alias("ne"), F.size("b").alias("nb"), *[F.lit(None).cast("bigint").alias(c) for c in counts],
     )
-    found = _decoded(rows, keys).select(
+    # with doc_id both branches read the same columns, so the texts are shuffled once for both
+    found = _decoded(rows, [*keys, "doc_id"]).select(
         *keys, *[F.lit(None).cast(t).alias(c) for c, t in head.dtypes if c not in (*keys, *counts)], *[F.col(c).cast("bigint").alias(c) for c in counts])
-    done = cut(head.unionByName(found).groupBy(*keys).agg(*[F.max(c).alias(c) for c in head.columns if c not in keys]))
+    with _plain_maps(docs.sparkSession):
+        done = cut(head.unionByName(found).groupBy(*keys).agg(*[F.max(c).alias(c) for c in head.columns if c not in keys]))
     # pairs that got stuck are few: their texts are read again and sketched larger
     seed, open_ = 0, done.where("stuck0 = 1 or stuck1 = 1").select(*keys, "doc_id", "next_id", "th", "nh", "n_chars")
     fixed = None
@@ -186,7 +208,8 @@ def compare_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         again = open_.join(one, F.expr("i <=> doc_id and xxhash64(text) = th")).join(two, F.expr("j <=> next_id and xxhash64(next) = nh"))
         again = again.dropDuplicates(keys).withColumn("edited", _edited())
         again = again.withColumns({"a": pieces(F.col("text")), "e": pieces(F.col("edited")), "b": pieces(F.col("next"))})
-        got = cut(again.select(*keys).join(_decoded(again, keys, seed), keys, "left"))
+        with _plain_maps(docs.sparkSession):
+            got = cut(again.select(*keys).join(_decoded(again, keys, seed), keys, "left"))
         ok = got.where("coalesce(stuck0, 0) = 0 and coalesce(stuck1, 0) = 0").select(*keys, F.col("d0").alias("f0"), F.col("d1").alias("f1"))
         fixed = ok if fixed is None else fixed.unionByName(ok)
         open_ = open_.join(got.where("stuck0 = 1 or stuck1 = 1"), keys, "left_semi")
