@@ -52,7 +52,7 @@ def check(spark, con, folder: str, name: str, fn, sql: str | None) -> str:
 
 def main():
     import __spark_entry__ as E
-    from tallybook.session import get_spark
+    from tallybook.session import get_spark, release
 
     folder = f"/root/testdata/sf{sys.argv[1]}"
     spark = get_spark(master="local[8]", shuffle_partitions=8)
@@ -66,6 +66,7 @@ def main():
         except Exception as e:
             msg = f"{type(e).__name__}: {str(e).splitlines()[0][:300]}"
         bad += bool(msg)
+        release(spark)
         kind = "O" if name in oracle else "R"
         print(f"{'FAIL' if msg else 'ok  '} {kind} {time.time() - t0:6.1f}s {name} {msg}", flush=True)
     print("failed", bad)
