@@ -103,7 +103,7 @@ def pair_counts(rows: DataFrame, size: int) -> DataFrame:
         if held:
             yield out()
 
-    long = map_stream(rows.select("ids", "c"), count, "pair bigint, c int, n bigint").groupBy("pair", "c").agg(F.sum("n").alias("n"))
+    long = map_stream(rows.select("ids", "c"), count, "pair bigint, c int, n bigint")
     return long.groupBy("pair").agg(F.sum("n").alias("n"), *[F.sum(F.when(F.col("c") == k, F.col("n")).otherwise(0)).alias(f"c{k}") for k in range(4)])
 
 
