@@ -414,6 +414,37 @@ def test_language_models_tell_target_from_background(spark):
     assert lm_score.cross_entropy_difference(docs, target.where("doc_id < 0")).count() == len(data)
 
 
+def test_language_models_keep_all_words_and_pairs(spark):
+    """Equal to models of everything in one process, more words than two bytes can number, wherever the entries are held."""
+    rng = random.Random(13)
+    common = [f"w{i}" for i in range(30)]
+    data = [(i, " ".join(rng.choice(common) for _ in range(rng.randrange(1, 60)))) for i in range(120)]
+    data += [(200 + i, " ".join(f"r{i % 12}x{j}" for j in range(6_000))) for i in range(24)] + [(7, data[7][1]), (7, "w1 w2"), (None, "w3 w4")]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string")
+    target = docs.where("doc_id % 3 = 1").select("doc_id")
+    halves = {r["doc_id"]: r["h"] for r in docs.selectExpr("doc_id", "pmod(xxhash64(doc_id), 2) h").collect()}
+    number = {w: i for i, w in enumerate(sorted({w for _, t in data for w in t.split()}), 1)}
+    size = len(number) + 1
+    assert size > 65_536
+    ids = [np.array([number[w] for w in t.split()]) for _, t in data]
+    codes = [np.concatenate(([size], w[:-1])) * size + w for w in ids]
+    pairs = np.unique(np.concatenate(codes))
+    models = []
+    for k in range(4):
+        mine = [j for j, (i, _) in enumerate(data) if 2 * (i is not None and i % 3 == 1) + halves[i] == k]
+        own = np.concatenate([codes[j] for j in mine])
+        models.append(lm_score.Model(pairs, np.bincount(np.searchsorted(pairs, own), minlength=len(pairs)).astype(float),
+            np.bincount(own % size, minlength=size).astype(float), np.bincount(own // size, minlength=size + 1), size))
+    want = []
+    for (i, _), c in zip(data, codes, strict=True):
+        t, b = (-models[k - halves[i]].log(np.searchsorted(pairs, c), np.ones(len(c), bool), c // size, c % size).mean(dtype=float) for k in (3, 1))
+        want.append((-1 if i is None else i, len(c), t, b))
+    for hot in (lm_score.HOT, 40, 0):
+        got = lm_score.cross_entropy_difference(docs, target, hot=hot).collect()
+        rows = sorted((-1 if r["doc_id"] is None else r["doc_id"], r["n_tokens"], r["ce_target"], r["ce_background"]) for r in got)
+        assert np.allclose(rows, sorted(want), atol=1e-4), hot
+
+
 def test_model_probabilities_sum_to_one():
     size, rng = 6, np.random.default_rng(12)
     ids = rng.integers(0, size, 500).astype("<u2")
