@@ -2,9 +2,10 @@
 
 1. Character trigrams of all documents are counted over a fixed alphabet of 64 symbols (so the model has 64^3 cells at any size)
    and smoothed into a language model.
-2. A token with leetspeak, separators or repeated letters spans a lattice: each run of a character may stand for the letters it
-   imitates, once or twice. Viterbi decoding under the language model picks the reading. Runs of single letters
-   ("i d i o t") are joined. Tokens without such signs have one path and stay as they are.
+2. A token of any length with leetspeak, separators or repeated letters spans a lattice: each run of a character may stand for the letters
+   it imitates, once or twice, and a separator for nothing or a space. Viterbi decoding under the language model picks the reading. Tokens
+   without such signs have one path and stay as they are. Runs of tokens of up to three characters ("a i d i o t", "id io t") span one
+   lattice, in which each space stays or goes; a word over several tokens counts as itself or as what is left of it from any of them on.
 3. Restored words and their prefixes of 4 to 6 letters, which stand for word families, are counted by class over labelled
    rows; those that are significant for the toxic class make the lexicon.
 4. A logistic model of (hits, hits per word) turns lexicon hits into a score.
@@ -21,6 +22,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +52,7 @@ for _c, _i in _CODE.items():
         _LATIN[ord(_c)] = _i
 N = 64
 _EDGE = ".,;:!?\"'()[]{}<>|*#%&$~^_-=+/\\`@"
-_SPOTS = re.compile(r"([^\W\d_])\1\1|[^\W\d_][^\w\s]+\w|\d[^\W\d_]|[^\W\d_]\d|[^\w\s][^\W\d_]|_")
+_SPOTS = re.compile(r"([^\W\d_])\1\1|([^\W\d_])\2.*([^\W\d_])\3|[^\W\d_][^\w\s]+\w|\d[^\W\d_]|[^\W\d_]\d|[^\w\s][^\W\d_]|_")
 
 
 def trigram_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
@@ -85,8 +87,18 @@ def smoothed(counts: np.ndarray) -> np.ndarray:
     return np.log(tri).astype(np.float32)
 
 
+_TWICE = re.compile(r"(.)\1")
+_SHORT = 3
+#: Tokens over this are not remembered, and tails are cut here, well over any prefix.
+_LONG, _TAIL = 60, 24
+#: In readings: a space that was dropped.
+_JOINT = "\x1f"
+
+
 def _readings(c: str, run: int) -> list[tuple[str, float]]:
     """What ``run`` times the character ``c`` may stand for, with log channel probabilities."""
+    if c == " ":
+        return [(_JOINT, -0.7), (" ", -0.7)]
     letters = LEET.get(c, "") if not c.isalpha() else c
     out = []
     for x in letters:
@@ -98,6 +110,8 @@ def _readings(c: str, run: int) -> list[tuple[str, float]]:
             out += [(x, -0.7), (x + x, -1.2)]
     if not c.isalnum():
         out.append(("", -1.0 if c in SEPARATORS else -4.0))
+        if c in SEPARATORS:
+            out.append((" ", -1.0))
     elif not letters:
         out.append((c * min(run, 2), -1.0))
     return out
@@ -105,73 +119,121 @@ def _readings(c: str, run: int) -> list[tuple[str, float]]:
 
 def decode(token: str, logp: np.ndarray) -> str:
     """The most probable reading of a token's lattice."""
-    best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     i = 0
     while i < len(token):
         j = i
         while j < len(token) and token[j] == token[i]:
             j += 1
-        step: dict[tuple[int, int], tuple[float, str]] = {}
+        step: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for out, cost in _readings(token[i], j - i):
             for (a, b), (s, done) in best.items():
                 x, y, z = a, b, s + cost
-                for ch in out:
+                for ch in out if out != _JOINT else "":
                     k = _CODE.get(ch, 0)
                     z += float(logp[x, y, k])
                     x, y = y, k
                 if (x, y) not in step or z > step[x, y][0]:
-                    step[x, y] = (z, done + out)
+                    step[x, y] = (z, (done, out))
         best, i = step, j
-    return max(((s + float(logp[a, b, 0]), w) for (a, b), (s, w) in best.items()), default=(0.0, token))[1]
+    back = max(((s + float(logp[a, b, 0]), n) for n, ((a, b), (s, _)) in enumerate(best.items())))[1]
+    parts, at = [], list(best.values())[back][1]
+    while at:
+        at, out = at
+        parts.append(out)
+    return "".join(reversed(parts))
 
 
 class Restorer(dict):
-    """Raw lower-case token -> restored word, remembered up to a bound."""
+    """Raw lower-case token -> restored words, remembered up to a bound."""
 
     def __init__(self, logp: np.ndarray):
         super().__init__()
-        self.logp = logp
+        self.logp, self.runs = logp, {}
 
     def __missing__(self, token: str) -> str:
         if len(self) > 300_000:
             self.clear()
         core = token.strip(_EDGE)
-        if len(token) <= 60 and _SPOTS.search(token):
+        if _SPOTS.search(token):
             hidden = token.strip(".,;:?\"'")
             whole = decode(hidden, self.logp) if hidden != core and any(c in LEET for c in hidden) else core
             inner = decode(core, self.logp) if _SPOTS.search(core) else core
             word = inner if not any(c in LEET for c in hidden[:1] + hidden[-1:]) else f"{inner} {whole}"
         else:
             word = core
-        self[token] = word
+        if len(token) <= _LONG:
+            self[token] = word
         return word
 
+    def joined(self, run: tuple[str, ...]) -> tuple[list[list[str]], list[str]]:
+        """For each word that the reading of a run of short tokens joins: itself and its tails. Then, of single letters, those of the whole run."""
+        if run in self.runs:
+            return self.runs[run]
+        if len(self.runs) > 100_000:
+            self.runs.clear()
+        single, pieces = all(len(t) == 1 for t in run), []
+        for t in run:
+            if single and pieces and pieces[-1][0] == t:
+                pieces[-1] += t  # one run of the character
+            else:
+                pieces.append(t)
+        reading = decode(" ".join(pieces), self.logp)
+        words = [w for w in (_tails(x) for x in reading.split(" ")) if len(w) > 1]
+        whole = [decode("".join(run), self.logp), *_tails(reading.replace(" ", _JOINT))] if single and len(run) >= 3 else []
+        if sum(map(len, run)) <= _LONG:
+            self.runs[run] = words, whole
+        return words, whole
+
+
+def _tails(joined: str) -> list[str]:
+    """A word with marks of its joints, without them, then what is left of it from each joint on."""
+    parts = joined.split(_JOINT)
+    word, at, out = "".join(parts), 0, []
+    for x in parts:
+        if x:
+            out.append(word[at : at + _TAIL] if at else word)
+        at += len(x)
+    return out
+
 
-def joined_letters(tokens: list[str]) -> list[str]:
-    """Words spelled as three or more single characters in a row."""
+def short_runs(tokens: list[str]) -> list[tuple[str, ...]]:
+    """Runs of two or more tokens of up to three characters, without the punctuation around them."""
     out, run = [], []
-    for t in [*tokens, ""]:
-        t = t if len(t) == 1 else t.strip(".,;:!?") if len(t) == 2 else t
-        if len(t) == 1:
-            run.append(t)
-        else:
-            if len(run) >= 3:
-                out.append("".join(run))
+    for t in [*tokens, "." * (_SHORT + 1)]:
+        core = t if len(t) == 1 else t.strip(".,;:!?\"'") if len(t) <= _SHORT + 2 else t
+        if 0 < len(core) <= _SHORT:
+            run.append(core)
+        elif core or len(t) > _SHORT:
+            if len(run) >= 2:
+                out.append(tuple(run))
             run = []
     return out
 
 
-def words_of(text: str | None, restore: Restorer) -> tuple[Counter, int]:
-    """Restored words with their counts, and the number of tokens."""
+def single_runs(run: tuple[str, ...]) -> list[tuple[str, ...]]:
+    """The parts of ``run`` that are three or more single characters in a row."""
+    return [p for p in (tuple(g) for one, g in groupby(run, lambda t: len(t) == 1) if one) if len(p) >= 3]
+
+
+def words_of(text: str | None, restore: Restorer) -> tuple[Counter, list[tuple[str, ...]], int]:
+    """Restored words with their counts, runs of short tokens, and the number of tokens."""
     tokens = (text or "").lower().split()
     found: Counter = Counter()
     for t, n in Counter(tokens).items():
         for w in restore[t].split():
             found[w] += n
-    if sum(len(t) <= 2 for t in tokens) >= 3:
-        for run in joined_letters(tokens):
-            found[decode(run, restore.logp)] += 1
-    return found, len(tokens)
+    return found, short_runs(tokens), len(tokens)
+
+
+def spelled(runs: list[tuple[str, ...]], restore: Restorer) -> list[str]:
+    """Words in runs of three or more single characters."""
+    out = []
+    for run in runs:
+        for part in single_runs(run):
+            words, whole = restore.joined(part)
+            out += [whole[0], *[w[0] for w in words]]
+    return out
 
 
 def features(word: str) -> list[str]:
@@ -191,6 +253,23 @@ class Lexicon(dict):
         self[word] = got = next((f for f in features(word) if f in self.entries), None)
         return got
 
+    def hits_of(self, run: tuple[str, ...], restore: Restorer) -> int:
+        """Hits in words over several tokens of ``run``."""
+        parts = single_runs(run)
+        if parts == [run]:
+            words, whole = restore.joined(run)
+            return max(sum(any(self[x] for x in w) for w in words), int(any(self[x] for x in whole)))
+        inner, text = sum(self.hits_of(p, restore) for p in parts), "".join(run)
+        if text.isalpha() and not _TWICE.search(" ".join(run)):
+            # letters stand for themselves; most runs hold no entry at all, however they are joined
+            at = list(accumulate(map(len, run), initial=0))
+            if not any(text[i : i + k] in self.entries for i in at for k in PREFIXES) and not any(
+                f"={text[i:j]}" in self.entries for n, i in enumerate(at) for j in at[n + 2 : n + 2 + _TAIL]):
+                return inner
+        elif not any(c.isalpha() for c in text):
+            return inner
+        return max(inner, sum(any(self[x] for x in w) for w in restore.joined(run)[0]))
+
 
 def learn_lexicon(labelled: DataFrame, shared_lm, toxic: int, clean: int) -> set[str]:
     """Entries significant for the toxic class among ``labelled(text, y)``."""
@@ -200,7 +279,8 @@ def learn_lexicon(labelled: DataFrame, shared_lm, toxic: int, clean: int) -> set
         for b in batches:
             by: tuple[Counter, Counter] = (Counter(), Counter())
             for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                by[y].update({f for w in words_of(t, restore)[0] for f in features(w)})
+                found, runs, _ = words_of(t, restore)
+                by[y].update({f for w in [*found, *spelled(runs, restore)] for f in features(w)})
             names = list(by[0].keys() | by[1].keys())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names, pa.string()), pa.array([by[1][f] for f in names], pa.int64()), pa.array([by[0][f] for f in names], pa.int64())],
@@ -236,9 +316,9 @@ def hits(docs: DataFrame, shared, carry: list[str], text: str = "text") -> DataF
         for b in batches:
             n, h = [], []
             for t in b.column("_t").to_pylist():
-                words, total = words_of(t, restore)
+                words, runs, total = words_of(t, restore)
                 n.append(total)
-                h.append(sum(k for w, k in words.items() if lexicon[w]))
+                h.append(sum(k for w, k in words.items() if lexicon[w]) + sum(lexicon.hits_of(r, restore) for r in runs))
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in carry], pa.array(n, pa.int64()), pa.array(h, pa.int64())], [*carry, "n_words", "n_hits"])
 
     rows = docs.select(*[F.col(f"`{c}`") for c in carry], F.col(text).cast("string").alias("_t"))

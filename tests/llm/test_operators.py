@@ -194,6 +194,20 @@ def test_deobfuscation_and_scores(spark):
     assert toxicity.toxicity_scores(docs.where("doc_id < 0"), table).count() == 0
 
 
+def test_long_joined_and_spaced_insults_are_found(spark):
+    rng = random.Random(21)
+    plain = "the weather in our village was good so we went to a market and met some friends there you are an old man".split()
+    data = [(i, " ".join(rng.choice(plain) for _ in range(30)) + (" stupid idiot" if i % 3 == 0 else " .")) for i in range(300)]
+    labels = [(i, int(i % 3 == 0)) for i in range(300)]
+    hidden = ["idi" + "o" * 80 + "t", "you_are_an_old_man_in_the_village_and_a_market_so_we_went_there_stupid_idiot", "a i d i o t", "s o i d i o t", "id io t",
+              "i i d d i o o t t", "iiddioott", "a i d i i i o t", "you.are.a.stupid.idiot", "idi ot", "i d i o t a m a n"]
+    data += [(1000 + k, f"{' '.join(plain[:8])} {h} {' '.join(plain[8:16])}") for k, h in enumerate(hidden)] + [(2000, " ".join(plain)), (2001, "so we a in to an are 1 2 3")]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string")
+    got = rows(toxicity.toxicity_scores(docs, spark.createDataFrame(labels, "doc_id bigint, toxic int"), reference=docs), "doc_id")
+    assert [h for k, h in enumerate(hidden) if not got[1000 + k][0]["n_hits"]] == []
+    assert got[2000][0]["n_hits"] == got[2001][0]["n_hits"] == 0 and all((got[i][0]["n_hits"] > 0) == (i % 3 == 0) for i in range(300))
+
+
 # ---- op5
 
 
