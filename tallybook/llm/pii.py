@@ -1,7 +1,7 @@
 """Surrogates for personal data.
 
 Entities are found by patterns: secrets, mail addresses, access keys, IP addresses, card, social security and phone numbers, and
-names after a title. Each distinct entity gets one keyed surrogate of its type: digits for digits and letters for letters in
+names after a title, whose parts are then also replaced where they stand alone in the same text. Each distinct entity gets one keyed surrogate of its type: digits for digits and letters for letters in
 the same format, card numbers with a valid check digit where the original has one, names of the same gender and script. The same value gets
 the same surrogate in all texts and formats; the parts of a name are entities of their own, so "Ms Anna Weber" and "Ms Weber" stay one
 person. A surrogate that two entities share, or that is itself a real entity of the table, is drawn anew until none is.
@@ -29,21 +29,27 @@ ENDINGS = {("latin", "m"): "lin rik ton mar".split(), ("latin", "f"): "lina rita
            ("cyrillic", "m"): "слав мир".split(), ("cyrillic", "f"): "слава мира".split(), ("cyrillic", "n"): "енко ских".split()}
 
 _TITLE = "(?:" + "|".join(sorted(MALE + FEMALE, key=len, reverse=True)) + ")"
+_PARTICLE = "(?:(?:van|von|der|den|de|da|di|du|del|la|le|zu|ter|ten|bin|ibn|al) )*"
+_NAME = r"(?:\p{Lu}\p{L}+(?:['’\-]\p{Lu}\p{L}*)*+|\p{Lu}(?:['’\-]\p{Lu}\p{L}+)++|\p{Lu}\.(?= \p{Lu}))"
+#: Country codes, for numbers without separators.
+_COUNTRY = r"(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9]\d\d)"
+_HEX = "[0-9A-Fa-f]{1,4}"
 PATTERNS = {
     "secret": r"(?<![A-Za-z])(?i:password|passwd|pwd|token|secret|api_?key)\s?[=:]\s?\"?[A-Za-z0-9+/_\-]{8,}",
     "mail": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+",
     "key": r"(?<![A-Za-z0-9])(?:A(?:KIA|SIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9]{20,})(?![A-Za-z0-9])",
     "ip": r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)",
+    "ip6": rf"(?<![\w:.])(?=[A-Fa-f:]*\d|(?:[A-Fa-f]*:+){{3}}[A-Fa-f])(?:(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}(?::{_HEX}){{0,6}})?::(?:(?:{_HEX}:){{0,5}}(?:\d{{1,3}}\.){{3}}\d{{1,3}}|{_HEX}(?::{_HEX}){{0,6}})?)(?![\w:]|\.\d)",
     "card": r"(?<![\w.\-])(?:\d{4}(?:[ \-]\d{4}){2}[ \-]\d{1,7}|\d{13,19})(?!\w)",
     "ssn": r"(?<![\w\-])\d{3}-\d{2}-\d{4}(?![\w\-])",
-    "phone": r"(?<![\w.])(?:(?:\+?\d{1,3}[ .\-]?)?\(\d{2,4}\)[ .\-]?\d{3,4}[ .\-]\d{3,4}|\+\d{1,3}(?:[ .\-]\d{2,4}){2,4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?!\w)",
-    "name": rf"(?<!\p{{L}}){_TITLE}\.? \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?",
+    "phone": r"(?<![\w.])(?:(?:\+?\d{1,3}[ .\-]?)?\(\d{2,4}\)[ .\-]?\d{3,4}[ .\-]\d{3,4}|\+\d{1,3}(?:[ .\-]\d{2,4}){2,4}|\+[1-9]\d{6,14}|\d{3}[ .\-]\d{3}[ .\-]\d{4})(?!\w)",
+    "name": rf"(?<!\p{{L}}){_TITLE}\.? {_PARTICLE}{_NAME}(?: {_PARTICLE}(?!{_TITLE}(?!\p{{L}})){_NAME}){{0,4}}",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: A text that does not match this has no entity; it is much cheaper to test.
-HINT = rf"[0-9@]|AKIA|ASIA|gh[pousr]_|sk-|(?i:password|passwd|pwd|token|secret|api_?key)|{_TITLE}"
+HINT = rf"[0-9@]|::|AKIA|ASIA|gh[pousr]_|sk-|(?i:password|passwd|pwd|token|secret|api_?key)|{_TITLE}"
 #: The part of a match that is replaced, where something stands before it; a phone number keeps its country code.
-VALUE = {"phone": r"(?<=^\+\d{1,3})[ .\-(].*$|^[^+].*$|^\+.{0,2}$", "secret": r"[A-Za-z0-9+/_\-]{8,}$", "key": r"(?<=AKIA|ASIA|gh[pousr]_|sk-).*$", "name": r"(?<= )\p{Lu}.*$"}
+VALUE = {"phone": rf"(?<=^\+\d{{1,3}})[ .\-(].*$|(?<=^\+{_COUNTRY})\d+$|^[^+].*$|^\+.{{0,2}}$", "secret": r"[A-Za-z0-9+/_\-]{8,}$", "key": r"(?<=AKIA|ASIA|gh[pousr]_|sk-).*$", "name": r"(?<= )\p{Lu}.*$"}
 
 
 def entities(text: Column) -> Column:
@@ -54,13 +60,28 @@ def _kind(match: Column) -> Column:
     return F.coalesce(*[F.when(match.rlike(f"^(?:{p})$"), k) for k, p in PATTERNS.items()], F.lit("secret"))
 
 
+def _long_ip(value: Column) -> Column:
+    """The eight groups of an address without leading zeros, so that all its forms are one."""
+    def groups(part: Column) -> Column:
+        return F.filter(F.split(part, ":"), lambda x: x != "")
+
+    left, right = groups(F.substring_index(value, "::", 1)), F.when(value.contains("::"), groups(F.substring_index(value, "::", -1))).otherwise(F.array().cast("array<string>"))
+    zeros = F.greatest(F.lit(0), F.lit(8) - F.size(left) - F.size(right) - F.when(value.contains("."), 1).otherwise(0))
+    return F.array_join(F.transform(F.concat(left, F.array_repeat(F.lit("0"), zeros), right), lambda x: F.regexp_replace(x, "^0+(?=.)", "")), ":")
+
+
+def _parts(name: Column) -> Column:
+    """The parts of a name; small words before one belong to it."""
+    return F.split(name, r"(?<! \p{Ll}{1,4}) ")
+
+
 def _units(match: Column, kind: Column) -> Column:
     """The parts of a match that have surrogates: (kind, canon), in order."""
     value = F.coalesce(*[F.when(kind == k, F.regexp_extract(match, p, 0)) for k, p in VALUE.items()], match)
     digits = F.regexp_replace(value, r"\D", "")
-    canon = F.when(kind.isin("card", "ssn", "phone"), digits).when(kind == "mail", F.lower(match)).otherwise(value)
+    canon = F.when(kind.isin("card", "ssn", "phone"), digits).when(kind == "mail", F.lower(match)).when(kind == "ip6", _long_ip(F.lower(match))).otherwise(value)
     female = match.rlike(f"^(?:{'|'.join(sorted(FEMALE, key=len, reverse=True))})(?![\\p{{L}}])")
-    parts = F.split(value, " ")
+    parts = _parts(value)
     given = F.when(female, "given-f").otherwise("given-m")
     names = F.transform(parts, lambda x, i: F.struct(F.when(i + 1 < F.size(parts), given).otherwise("family").alias("kind"), F.lower(x).alias("canon")))
     return F.when(kind == "name", names).otherwise(F.array(F.struct(kind.alias("kind"), canon.alias("canon"))))
@@ -109,12 +130,13 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     """Keyed surrogate of a canonical value, in canonical form."""
     digest = F.sha2(F.concat_ws("\u0001", F.lit(key), kind, canon, attempt.cast("string")).cast("binary"), 256)
     octets = F.concat_ws(".", *[(F.pmod(F.xxhash64(digest, F.lit(i)), F.lit(254)) + 1).cast("string") for i in range(4)])
+    groups = F.concat(F.lit("2001:db8:"), F.concat_ws(":", *[F.substring(digest, F.lit(4 * i + 1), F.lit(4)) for i in range(6)]))
     local = F.substring_index(canon, "@", 1)
     domain = F.element_at(F.array(*[F.lit(f"example.{x}") for x in ("com", "net", "org")]), F.pmod(F.xxhash64(digest, F.lit("d")), F.lit(3)).cast("int") + 1)
     # a short value leaves few of its shape, so later attempts make mail names longer
     longer = F.when(attempt > 2, F.substring(digest, F.lit(1), attempt)).otherwise("")
     return (
-        F.when(kind == "ip", octets).when(kind == "mail", F.concat(_shaped(local, digest), longer, F.lit("@"), domain))
+        F.when(kind == "ip", octets).when(kind == "ip6", groups).when(kind == "mail", F.concat(_shaped(local, digest), longer, F.lit("@"), domain))
         .when(kind == "card", _card(canon, digest)).when(kind.isin("given-m", "given-f", "family"), _name(kind, canon, digest, attempt))
         .otherwise(_shaped(canon, digest))
     )
@@ -129,7 +151,7 @@ def _poured(match: Column, digits: Column) -> Column:
 
 
 def surrogates(found: DataFrame, key: str) -> DataFrame:
-    """(match, new) for the distinct matches ``found(match)``, without collisions."""
+    """(match, new, names) for the distinct matches ``found(match)``, without collisions; names: (size, pattern, new) of each part of a name."""
     kinds = found.withColumn("kind", _kind(F.col("match")))
     units = cut(kinds.select("match", "kind", F.posexplode(_units(F.col("match"), F.col("kind"))).alias("i", "u")).select(
         "match", F.col("kind").alias("whole"), "i", "u.kind", "u.canon"))
@@ -150,24 +172,36 @@ def surrogates(found: DataFrame, key: str) -> DataFrame:
     joined = F.array_join(F.transform("p", lambda x: F.when(F.col("whole") == "name", F.initcap(x["new"])).otherwise(x["new"])), " ")
     head = F.coalesce(*[F.when(F.col("whole") == k, F.regexp_replace("match", p, "")) for k, p in VALUE.items()], F.lit(""))
     body = F.substring("match", F.char_length(head) + 1, F.char_length("match"))
-    return new.select("match", F.when(F.col("whole").isin("card", "ssn", "phone"), F.concat(head, _poured(body, joined))).otherwise(F.concat(head, joined)).alias("new"))
+    alone = F.filter(F.arrays_zip(_parts(body).alias("part"), F.col("p").alias("p")), lambda x: x["part"].rlike(r"\p{L}{2}|['’\-]"))
+    pattern = F.transform(alone, lambda x: F.struct(-F.char_length(x["part"]), F.concat(
+        F.lit(r"(?<![\p{L}\p{N}_])"), F.regexp_replace(x["part"], r"^((?:\p{Ll}+ )+)", r"(?:$1)?"), F.lit(r"(?![\p{L}\p{N}_])")), F.initcap(x["p"]["new"])))
+    names = F.when(F.col("whole") == "name", pattern).otherwise(F.array()).cast("array<struct<size:int,re:string,new:string>>")
+    return new.select("match", F.when(F.col("whole").isin("card", "ssn", "phone"), F.concat(head, _poured(body, joined))).otherwise(F.concat(head, joined)).alias("new"), names.alias("names"))
 
 
 def replace_entities(docs: DataFrame, key: str = "surrogates", text: str = "text", count: str | None = None) -> DataFrame:
     """``docs`` with surrogates in ``text``; ``count`` names a column for the number of replaced entities."""
     cols = [c for c in docs.columns if c != count]
-    e, k, m = (fresh(docs, x) for x in ("_e", "_k", "_m"))
+    e, k, m, own = (fresh(docs, x) for x in ("_e", "_k", "_m", "_own"))
     t = F.col(f"`{text}`")
     rows = docs.select(*[F.col(f"`{c}`") for c in cols], entities(t).alias(e))
     has = F.coalesce(F.size(e) > 0, F.lit(False))
     digest = F.sha2(t.cast("binary"), 256)
     solved = cut(rows.where(has).select(digest.alias(k), F.explode(e).alias("match")).distinct())
     maps = solved.join(surrogates(solved.select("match").distinct(), key), "match").groupBy(k).agg(
-        F.map_from_entries(F.collect_list(F.struct("match", "new"))).alias(m))
+        F.map_from_entries(F.collect_list(F.struct("match", "new"))).alias(m),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("names")))).alias(own))
     between = F.split(t, PATTERN, -1)
-    mended = F.array_join(F.transform(between, lambda x, i: F.concat(x, F.coalesce(F.element_at(m, F.get(e, i)), F.lit("")))), "")
+
+    def bare(x: Column) -> Column:
+        """A piece between matches, with names of this text that stand there without a title."""
+        return F.aggregate(own, x, lambda s, p: F.regexp_replace(s, p["re"], p["new"]))
+
+    mended = F.array_join(F.transform(between, lambda x, i: F.concat(bare(x), F.coalesce(F.element_at(m, F.get(e, i)), F.lit("")))), "")
     dirty = rows.where(has).withColumn(k, digest).join(maps, k)
-    n = [] if count is None else [F.coalesce(F.size(e), F.lit(0)).cast("bigint").alias(count)]
+    rest = F.array_join(between, "\n")
+    more = F.size(F.split(rest, F.array_join(F.col(own)["re"], "|"), -1)) - 1
+    n = [] if count is None else [(F.size(e) + F.when(F.size(own) > 0, more).otherwise(0)).cast("bigint").alias(count)]
     changed = dirty.select(*[mended.alias(c) if c == text else F.col(f"`{c}`") for c in cols], *n)
     zero = [] if count is None else [F.lit(0).cast("bigint").alias(count)]
     return rows.where(~has).select(*[F.col(f"`{c}`") for c in cols], *zero).unionByName(changed)

@@ -406,6 +406,24 @@ def test_surrogates(spark):
     assert pii.replace_entities(docs.where("doc_id < 0")).count() == 0
 
 
+def test_surrogates_of_wider_forms_and_bare_names(spark):
+    texts = [
+        "call +14155550123 or 415 555 0123 or +1 415 555 0123 now", "from 2001:DB8:0:0::7:1 and 2001:db8::7:1 and fe80::1a2b at 12:30:45, std::vector a::b",
+        "Mr John Fitzgerald Kennedy spoke.", "Ms Anne-Marie Weber and Mr O'Brien met Herr Ludwig van Beethoven.",
+        "Ms Anna Weber came. Later Weber left, Anna Weber's car too; Webers stayed.", "No Weber here 1.",
+    ]
+    got = rows(pii.replace_entities(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), count="n"), "doc_id")
+    new = [got[i][0]["text"] for i in range(len(texts))]
+    a, b, c = re.fullmatch(r"call \+1(\d{10}) or (\d{3} \d{3} \d{4}) or \+1 (\d{3} \d{3} \d{4}) now", new[0]).groups()
+    assert a == b.replace(" ", "") == c.replace(" ", "") != "4155550123" and got[0][0]["n"] == 3
+    x, y, z = re.fullmatch(r"from ([0-9a-f:]+) and ([0-9a-f:]+) and ([0-9a-f:]+) at 12:30:45, std::vector a::b", new[1]).groups()
+    assert x == y != z and "fe80" not in z and got[1][0]["n"] == 3
+    assert not re.search("John|Fitzgerald|Kennedy", new[2]) and not re.search("Anne|Marie|Weber|Brien|Ludwig|Beethoven", new[3])
+    given, family = re.match(r"Ms (\w+) (\w+) came", new[4]).groups()
+    assert new[4] == f"Ms {given} {family} came. Later {family} left, {given} {family}'s car too; Webers stayed." and got[4][0]["n"] == 4
+    assert new[5] == texts[5]
+
+
 def test_surrogates_stay_distinct(spark):
     mails = [f"{x}@m.example.com" for x in "abcdefghijklmnopqrstuvwxyz"]
     got = pii.replace_entities(spark.createDataFrame([(i, m) for i, m in enumerate(mails)], "doc_id bigint, text string")).collect()
