@@ -6,7 +6,8 @@
    score. These weights are the document's vector, and an item is the sum over its terms: an inner product.
 3. Documents are range-partitioned by their two heaviest terms (then a hash, so no key is hot), so that neighbours in order are alike. A task reads its
    rows in chunks of ``CHUNK`` documents; each gets a ball tree over the order: ``FAN`` neighbours to a leaf, ``FAN`` nodes to the next. A node has the
-   mean of its vectors and the largest distance from it, so a score below it is at most (item . mean) + |item| * radius.
+   mean of its vectors and the largest distance from it, so a score below it is at most (item . mean) + |item| * radius. Only the item's
+   terms count: the radius in their space is at most the root of the sum of each term's largest squared distance, which is kept beside its mean.
 4. An item descends best-first: the node of the highest bound is opened next, until that bound is below its 50th best score. Bounds are computed in
    doubles and raised by far more than any rounding error; leaves are scored in integers. A bound equal to the score sought stays, as ties go by doc_id.
 5. Each task keeps the best of its chunks for each item; the lists of the tasks, at most 50 rows an item and task, are merged by Spark.
@@ -125,19 +126,22 @@ class BallTree:
         square = np.bincount(doc, value * value, n)
         self.known, local = np.unique(self.term, return_inverse=True)
         self.levels: list[np.ndarray] = []  # radius of each node, leaves first
-        self.means: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # by term: start, node, mean
+        self.means: list[tuple[np.ndarray, ...]] = []  # by term: start, node, mean, largest squared distance from it
         wide = FAN
         while True:
             node, nodes = doc // wide, -(-n // wide)
             size = np.minimum(wide, n - np.arange(nodes) * wide)
-            cells, back = np.unique(local * nodes + node, return_inverse=True)
+            cells, back, uses = np.unique(local * nodes + node, return_inverse=True, return_counts=True)
             mean = np.bincount(back, value) / size[cells % nodes]
+            off = np.zeros(len(cells))
+            np.maximum.at(off, back, (value - mean[back]) ** 2)
+            off = np.where(uses < size[cells % nodes], np.maximum(off, mean * mean), off) * (1 + SLACK)  # documents without the term
             norm = np.bincount(cells % nodes, mean * mean, nodes)
             apart = square - 2 * np.bincount(doc, value * mean[back], n) + norm[np.arange(n) // wide]
             # |x - c|^2 is a difference of larger numbers, so the error allowed for is a share of those
             apart = np.maximum(apart, 0) + SLACK * (square + norm[np.arange(n) // wide])
             self.levels.append(np.sqrt(np.maximum.reduceat(apart, np.arange(nodes) * wide)))
-            self.means.append((np.searchsorted(cells // nodes, np.arange(len(self.known) + 1)), cells % nodes, mean))
+            self.means.append((np.searchsorted(cells // nodes, np.arange(len(self.known) + 1)), cells % nodes, mean, off))
             if nodes == 1:
                 break
             wide *= FAN
@@ -147,12 +151,15 @@ class BallTree:
         at = np.searchsorted(self.known, item)
         at = at[(at < len(self.known)) & (self.known[np.minimum(at, len(self.known) - 1)] == item)]
         out = []
-        for radius, (start, node, mean) in zip(self.levels, self.means, strict=True):
-            dot = np.zeros(len(radius))
+        for radius, (start, node, mean, off) in zip(self.levels, self.means, strict=True):
+            dot, apart, here = np.zeros(len(radius)), np.zeros(len(radius)), np.zeros(len(radius))
             for k in at.tolist():
                 x = slice(start[k], start[k + 1])
-                dot[node[x]] += mean[x]  # a node stands once for a term
-            out.append((dot + np.sqrt(len(at)) * radius) * (1 + SLACK) + 1)
+                y = node[x]  # a node stands once for a term
+                dot[y] += mean[x]
+                apart[y] += off[x]
+                here[y] += 1
+            out.append((dot + np.sqrt(here * np.minimum(apart, radius * radius))) * (1 + SLACK) + 1)
         return out
 
     def search(self, item: np.ndarray, flag: np.ndarray, least: int, visit) -> int:
