@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import itertools
 import math
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.stat import KolmogorovSmirnovTest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrow import map_stream
+from ..session import cut
 from .ordering import running
 from .regression import Fit, least_squares
 from .series import lagged
@@ -74,12 +78,8 @@ def ks_two_sample(a: DataFrame, b: DataFrame, value: str = "value") -> DataFrame
     hist = one(a, 1, 0).unionByName(one(b, 0, 1)).groupBy("v").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     n, m = hist.agg(F.sum("a")).scalar(), hist.agg(F.sum("b")).scalar()
     cum = running(hist, [], [F.col("v").asc()], {"ca": F.col("a"), "cb": F.col("b")})
-    out = cum.agg(F.max(F.abs(F.col("ca") / n - F.col("cb") / m)).alias("d")).withColumn("n", n).withColumn("m", m)
-    # a stage of its own, as subqueries may not move into the lambda of the p-value
-    row = out.first()
-    spark = a.sparkSession
-    one_row = spark.createDataFrame([(float(row["d"]), int(row["n"]), int(row["m"]))], "d double, n long, m long")
-    return one_row.withColumn("p_value", ks_p_value(F.col("d"), F.col("n"), F.col("m")))
+    out = cut(cum.agg(F.max(F.abs(F.col("ca") / n - F.col("cb") / m)).alias("d")).withColumn("n", n).withColumn("m", m))  # one row
+    return out.withColumn("p_value", ks_p_value(F.col("d"), F.col("n"), F.col("m")))
 
 
 def ks_norm(df: DataFrame, value: str, standardize: bool = False) -> DataFrame:
@@ -109,28 +109,82 @@ def normal_cut(alpha: float) -> float:
     return (lo + hi) / 2
 
 
-def ci_tests(corr: DataFrame, n: int, alpha: float = 0.05, max_cond: int | None = None) -> DataFrame:
-    """Gaussian conditional-independence tests (a, b, cond, r, z, independent) for all pairs and
-    conditioning sets. Works on the column-by-column correlation table, whose size does not depend on the rows."""
+def partial_correlations(tests: DataFrame, corr: DataFrame, n: int, alpha: float) -> DataFrame:
+    """(a, b, cond, r, z, independent) of ``tests(a, b, cond)``: Fisher's z of the partial correlation of a and b given ``cond``.
+
+    The correlation table has a row for each pair of columns, whatever the rows, so it goes to all tasks; the tests stay rows.
+    """
     rows = corr.collect()
     names = sorted({r["a"] for r in rows} | {r["b"] for r in rows})
-    at = {c: i for i, c in enumerate(names)}
-    m = np.eye(len(names))
+    at, m = {c: i for i, c in enumerate(names)}, np.eye(len(names))
     for r in rows:
         m[at[r["a"]], at[r["b"]]] = m[at[r["b"]], at[r["a"]]] = r["r"]
-    crit, out = normal_cut(alpha), []
-    for a, b in itertools.combinations(names, 2):
-        rest = [c for c in names if c not in (a, b)]
-        for size in range(0, min(len(rest), len(rest) if max_cond is None else max_cond) + 1):
-            for cond in itertools.combinations(rest, size):
-                pick = [at[c] for c in (a, b, *cond)]
-                prec = np.linalg.inv(m[np.ix_(pick, pick)])
-                r = float(-prec[0, 1] / math.sqrt(prec[0, 0] * prec[1, 1]))
-                z = math.sqrt(n - size - 3) * abs(math.atanh(max(-1 + 1e-15, min(1 - 1e-15, r))))
-                out.append((a, b, list(cond), r, z, z < crit))
-    return corr.sparkSession.createDataFrame(
-        out, "a string, b string, cond array<string>, r double, z double, independent boolean"
-    )
+    crit = normal_cut(alpha)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            picks = [[at[x], at[y], *(at[c] for c in cond)] for x, y, cond in zip(*(b.column(c).to_pylist() for c in ("a", "b", "cond")), strict=True)]
+            size, r = np.array([len(p) - 2 for p in picks]), np.empty(len(picks))
+            for k in np.unique(size):
+                rows_ = np.flatnonzero(size == k)
+                ix = np.array([picks[i] for i in rows_])
+                prec = np.linalg.inv(m[ix[:, :, None], ix[:, None, :]])
+                r[rows_] = -prec[:, 0, 1] / np.sqrt(prec[:, 0, 0] * prec[:, 1, 1])
+            z = np.sqrt(np.maximum(n - size - 3, 0)) * np.abs(np.arctanh(np.clip(r, -1 + 1e-15, 1 - 1e-15)))
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), b.column("cond"), pa.array(r), pa.array(z), pa.array(z < crit)], ["a", "b", "cond", "r", "z", "independent"])
+
+    return map_stream(tests.select("a", "b", "cond"), score, "a string, b string, cond array<string>, r double, z double, independent boolean")
+
+
+def _longer(sets: DataFrame, nbrs: DataFrame) -> DataFrame:
+    """``sets(a, cond)`` with each later neighbour of a added: all sets of one more column, each once."""
+    return sets.join(nbrs, "a").where((F.size("cond") == 0) | (F.col("b") > F.get("cond", F.size("cond") - 1))).select("a", F.concat("cond", F.array("b")).alias("cond"))
+
+
+def _both_ways(edges: DataFrame) -> DataFrame:
+    return edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+
+
+def ci_tests(corr: DataFrame, n: int, alpha: float = 0.05, max_cond: int | None = None) -> DataFrame:
+    """Gaussian conditional-independence tests (a, b, cond, r, z, independent) for all pairs and all sets of up to ``max_cond`` other columns."""
+    pairs = corr.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    nbrs = _both_ways(pairs)
+    columns = nbrs.agg(F.count_distinct("a")).first()[0]
+    sets = nbrs.select("a").distinct().withColumn("cond", F.array().cast("array<string>"))
+    tests = pairs.withColumn("cond", F.array().cast("array<string>"))
+    for _ in range(min(columns - 2, columns if max_cond is None else max_cond)):
+        sets = _longer(sets, nbrs)
+        tests = tests.unionByName(pairs.join(sets, "a").where(~F.array_contains("cond", F.col("b"))))
+    return partial_correlations(tests, corr, n, alpha)
+
+
+def pc_tests(corr: DataFrame, n: int, alpha: float = 0.05, max_cond: int | None = None) -> DataFrame:
+    """The tests that the skeleton search needs, level by level: (a, b, cond, r, z, independent).
+
+    At level k a pair that is still joined is tested given each set of k columns that are all neighbours of a or all neighbours of b, as the
+    level finds them; pairs with an independent test are parted before the next one. Sets grow by a join of the former level's sets
+    with the neighbours that are left, so nothing is enumerated on the driver.
+    """
+    edges = cut(corr.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    nbrs = _both_ways(edges)
+    sets = nbrs.select("a").distinct().withColumn("cond", F.array().cast("array<string>"))
+    out, level = None, 0
+    while True:
+        open_ = _both_ways(edges).join(sets, "a").where(~F.array_contains("cond", F.col("b")))
+        tests = open_.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "cond").distinct()
+        found = cut(partial_correlations(tests, corr, n, alpha))
+        if not found.take(1):
+            return found if out is None else out
+        out = found if out is None else out.unionByName(found)
+        if level == max_cond:
+            return out
+        edges = cut(edges.join(found.where("independent").select("a", "b").distinct(), ["a", "b"], "left_anti"))
+        nbrs, level = _both_ways(edges), level + 1
+        # sets of the former level whose columns are all neighbours still, and one neighbour more
+        left = sets.join(nbrs.groupBy("a").agg(F.collect_set("b").alias("_all")), "a").where(F.size(F.array_except("cond", "_all")) == 0).drop("_all")
+        sets = cut(_longer(left, nbrs))
 
 
 def pc_graph(ci: DataFrame) -> DataFrame:

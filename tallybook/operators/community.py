@@ -11,7 +11,6 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.hashing import draw, unit
 from ..functions.vectors import dot, norm2, unit_vector
@@ -110,11 +109,10 @@ class Level:
         m = self.m
         me = self.verts.join(comm.withColumnRenamed("comm", "cur"), "id")
         home = stats.select(F.col("comm").alias("cur"), F.col("deg").alias("deg_cur"), F.col("members").alias("members_cur"))
-        mine = Window.partitionBy("id")
+        own = ties.join(comm, ["id", "comm"]).select("id", F.col("w").alias("w_cur"))
         c = (
-            ties.join(me, "id")
-            .withColumn("w_cur", F.coalesce(F.max(F.when(F.col("comm") == F.col("cur"), F.col("w"))).over(mine), F.lit(0.0)))
-            .where("comm <> cur").join(home, "cur").join(stats.select("comm", "deg", "csize", "cvec"), "comm")
+            ties.join(me.join(home, "cur").join(own, "id", "left").fillna(0.0, ["w_cur"]), "id")
+            .where("comm <> cur").join(stats.select("comm", "deg", "csize", "cvec"), "comm")
         )
         dq = (F.col("w") - F.col("w_cur")) / m - F.col("k") * (F.col("deg") - F.col("deg_cur") + F.col("k")) / (2 * m * m)
         size = F.col("csize") + F.col("size")
@@ -156,26 +154,62 @@ def apply_moves(comm: DataFrame, moves: DataFrame) -> DataFrame:
     )
 
 
-def local_move(edges: DataFrame, verts: DataFrame, comm: DataFrame, alpha: float, passes: int = 15) -> DataFrame:
-    """Rounds of simultaneous moves, alternating direction, until two rounds change nothing.
+def harmless(level: Level, moves: DataFrame, alpha: float) -> DataFrame:
+    """The ``moves(id, cur, comm, gain)`` whose gain outweighs what they may cost each other when all are made at once.
 
-    Simultaneous moves may overshoot, so the best assignment seen by the objective is returned.
+    Gains are those of a single move. Two movers that join or leave the same community count its degree too low or too high, by k_i k_j / 2m^2; a tie
+    between two movers is lost if one joins what the other leaves. Half of each such cost is put on either mover, so the modularity of the
+    moves that are left rises by more than nothing, whichever they are.
     """
-    level, best, still = Level(edges, verts), None, 0
-    for r in range(2 * passes + 1):
+    m = level.m
+    k = moves.join(level.verts.select("id", "k"), "id")
+    into = k.groupBy("comm").agg(F.sum("k").alias("k_in"))
+    out = k.groupBy("cur").agg(F.sum("k").alias("k_out"))
+    a = moves.select("id", F.col("cur").alias("cur_a"), F.col("comm").alias("to_a"))
+    b = moves.select(F.col("id").alias("dst"), F.col("cur").alias("cur_b"), F.col("comm").alias("to_b"))
+    crossed = (F.col("to_a") == F.col("cur_b")).cast("int") + (F.col("cur_a") == F.col("to_b")).cast("int")
+    ties = level.both.join(a, "id").join(b, "dst").groupBy("id").agg(F.sum(F.col("weight") * crossed).alias("lost"))
+    cost = F.coalesce("lost", F.lit(0.0)) / (2 * m) + F.col("k") * (F.col("k_in") + F.col("k_out") - 2 * F.col("k")) / (4 * m * m)
+    return k.join(into, "comm").join(out, "cur").join(ties, "id", "left").where(F.col("gain") > alpha * cost).select("id", "comm", "gain")
+
+
+def local_move(edges: DataFrame, verts: DataFrame, comm: DataFrame, alpha: float, passes: int = 15, trace: list[float] | None = None) -> DataFrame:
+    """Rounds of simultaneous moves that never lower the objective, until no move gains or helps.
+
+    A round takes each vertex's best move, of those the ones that are harmless together. Similarities have no such bound, so a round whose
+    objective falls is taken back and tried with half as many vertices (by hash draws), at last with the best move alone. A pass of
+    the one-by-one form is up to four rounds. ``trace`` receives the objective at the start and after each round.
+    """
+    level = Level(edges, verts)
+
+    def measured(comm: DataFrame) -> tuple:
         ties = cut(level.ties(comm))
         stats = cut(level.stats(comm, ties))
-        score, n = level.objective(stats, alpha)
-        if best is None or score > best[0]:
-            best = (score, comm)
-        if r == 2 * passes:
+        return comm, ties, stats, *level.objective(stats, alpha)
+
+    comm, ties, stats, score, n = measured(comm)
+    trace = trace if trace is not None else []
+    trace.append(score)
+    for r in range(4 * passes):
+        best = best_moves(level.gains(comm, ties, stats, n, alpha))
+        best = cut(best.join(comm.withColumnRenamed("comm", "cur"), "id").select("id", "cur", "comm", "gain"))
+        movers = best.count()
+        if not movers:
             break
-        new = cut(apply_moves(comm, best_moves(level.gains(comm, ties, stats, n, alpha), down=r % 2 == 0)))
-        still = 0 if churn(comm, new).first()[0] else still + 1
-        if still == 2:
+        after, t = None, 0
+        while after is None and t <= movers.bit_length():
+            few = best.where(unit("id", r, t) < 2.0**-t) if t < movers.bit_length() else best.orderBy(F.desc("gain"), "id").limit(1)
+            good = cut(harmless(level, cut(few), alpha))
+            t += 1
+            if good.take(1):
+                tried = measured(cut(apply_moves(comm, good)))
+                if tried[3] >= score - 1e-12:
+                    after = tried
+        if after is None:
             break
-        comm = new
-    return best[1]
+        comm, ties, stats, score, n = after
+        trace.append(score)
+    return comm
 
 
 def relabel(comm: DataFrame) -> DataFrame:

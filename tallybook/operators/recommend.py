@@ -3,39 +3,62 @@
 from __future__ import annotations
 
 import math
-from functools import reduce
+from dataclasses import dataclass
 
-from pyspark.ml.recommendation import ALS, ALSModel
+from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.vectors import dot
 from ..session import cut
 from .facts import candidates_by_rank, except_keys
-from .ordering import rank_within
+from .inner_product import best_products
+from .ordering import dense_index, rank_within
 
 
-def train_implicit(train: DataFrame, rank: int, seed: int = 345, blocks: int = 16) -> ALSModel:
+#: Rows of a factor block, at least 16 blocks.
+BLOCK_ROWS = 4_000_000
+
+
+@dataclass
+class ImplicitModel:
+    """Factors of the users (user_id, vec) and of the items (item_id, vec) by their own ids."""
+
+    users: DataFrame
+    items: DataFrame
+
+
+def train_implicit(train: DataFrame, rank: int, seed: int = 345, blocks: int | None = None) -> ImplicitModel:
     """Implicit matrix factorisation with 5 iterations, lambda 0.01 and alpha 0.01. Repeated pairs are
-    summed first. The model depends on the number of factor blocks, so that does not follow the cores."""
+    summed first. Ids of any size are numbered for the fit. The model depends on the number of factor
+    blocks, which follows the rows and not the cores."""
+    plays = cut(train.groupBy("user_id", "item_id").agg(F.sum("plays").cast("float").alias("plays")))
+    users, items = cut(dense_index(plays, "user_id", "u")), cut(dense_index(plays, "item_id", "i"))
+    blocks = blocks or max(16, -(-plays.count() // BLOCK_ROWS))
     als = ALS(
         rank=rank, maxIter=5, regParam=0.01, alpha=0.01, implicitPrefs=True, seed=seed,
-        numUserBlocks=blocks, numItemBlocks=blocks,
-        userCol="user_id", itemCol="item_id", ratingCol="plays", coldStartStrategy="drop",
+        numUserBlocks=blocks, numItemBlocks=blocks, userCol="u", itemCol="i", ratingCol="plays",
     )
-    return als.fit(train.groupBy("user_id", "item_id").agg(F.sum("plays").cast("float").alias("plays")))
+    model = als.fit(plays.join(users, "user_id").join(items, "item_id").select(F.col("u").cast("int"), F.col("i").cast("int"), "plays"))
+    vec = F.transform("features", lambda x: x.cast("double")).alias("vec")
+    return ImplicitModel(
+        cut(users.join(model.userFactors, F.col("u") == F.col("id")).select("user_id", vec)),
+        cut(items.join(model.itemFactors, F.col("i") == F.col("id")).select("item_id", vec)))
 
 
-def score(model: ALSModel, cands: DataFrame) -> DataFrame:
+def score(model: ImplicitModel, cands: DataFrame) -> DataFrame:
     """Score given pairs; pairs unknown to the model vanish."""
-    return model.transform(cands).withColumnRenamed("prediction", "score")
+    u = model.users.withColumnRenamed("vec", "_u")
+    i = model.items.withColumnRenamed("vec", "_i")
+    return cands.join(u, "user_id").join(i, "item_id").withColumn("score", dot("_u", "_i")).drop("_u", "_i")
 
 
-def recommend(model: ALSModel, users: DataFrame, n: int) -> DataFrame:
-    """Top ``n`` items per user; items of the training set are not removed."""
-    rec = model.recommendForUserSubset(users.select("user_id").distinct(), n)
-    return rec.select("user_id", F.posexplode("recommendations").alias("place", "r")).select(
-        "user_id", (F.col("place") + 1).alias("place"), "r.item_id", F.col("r.rating").alias("score")
-    )
+def recommend(model: ImplicitModel, users: DataFrame, n: int) -> DataFrame:
+    """Top ``n`` items per user, exactly; items of the training set are not removed."""
+    wanted = model.users.join(users.select("user_id").distinct(), "user_id", "left_semi").withColumn("need", F.lit(n))
+    best = best_products(wanted, model.items)
+    return best.select("user_id", F.posexplode(F.arrays_zip("items", "scores")).alias("place", "r")).select(
+        "user_id", (F.col("place") + 1).alias("place"), F.col("r.items").alias("item_id"), F.col("r.scores").alias("score"))
 
 
 def needs(truth: DataFrame, train: DataFrame) -> DataFrame:
@@ -45,18 +68,10 @@ def needs(truth: DataFrame, train: DataFrame) -> DataFrame:
     return t.join(s, "user_id", "left").select("user_id", (F.col("x") + F.coalesce("seen", F.lit(0))).alias("need"))
 
 
-def model_scores(model: ALSModel, truth: DataFrame, train: DataFrame) -> DataFrame:
-    """Scores deep enough for an exact overlap: users are banded by need (powers of four), so that a
-    user with a long history does not force long lists on all others."""
-    need = needs(truth, train).join(model.userFactors.select(F.col("id").cast("bigint").alias("user_id")), "user_id", "left_semi")
-    n_items = model.itemFactors.count()
-    need = need.withColumn("band", F.ceil(F.log2(F.least(F.col("need"), F.lit(n_items)).cast("double")) / 2).cast("int"))
-    need = cut(need)
-    bands = sorted(r[0] for r in need.select("band").distinct().collect())  # at most log4(items) values
-    parts = [
-        recommend(model, need.where(F.col("band") == b), min(4**b, n_items)) for b in bands
-    ]
-    return reduce(DataFrame.unionByName, parts).select(F.col("user_id").cast("bigint").alias("user_id"), F.col("item_id").cast("bigint").alias("item_id"), "score")
+def model_scores(model: ImplicitModel, truth: DataFrame, train: DataFrame) -> DataFrame:
+    """Scores deep enough for an exact overlap: each user's list is as long as that user needs."""
+    best = best_products(model.users.join(needs(truth, train), "user_id"), model.items)
+    return best.select("user_id", F.explode(F.arrays_zip("items", "scores")).alias("r")).select("user_id", F.col("r.items").alias("item_id"), F.col("r.scores").alias("score"))
 
 
 def popularity_scores(ranked: DataFrame, truth: DataFrame, train: DataFrame) -> DataFrame:
@@ -93,7 +108,7 @@ def overlap_at_x(scores: DataFrame, truth: DataFrame, train: DataFrame) -> DataF
     )
 
 
-def sweep(train: DataFrame, val: DataFrame, ranks: tuple[int, ...] = (2, 10, 20), seed: int = 345) -> tuple[DataFrame, ALSModel]:
+def sweep(train: DataFrame, val: DataFrame, ranks: tuple[int, ...] = (2, 10, 20), seed: int = 345) -> tuple[DataFrame, ImplicitModel]:
     """Fit one model per rank, score each on ``val``; returns the table and the best model."""
     rows, best = [], (-math.inf, None)
     for r in ranks:

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
-from pyspark.ml.feature import CountVectorizerModel, Word2Vec
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import draw
 from .ordering import dense_index, top_rows
+from .skipgram import mean_vectors, skip_gram
 
 
 def doc_words(docs: DataFrame) -> DataFrame:
@@ -151,12 +151,11 @@ def logreg(train: DataFrame, features: str = "features"):
     ).fit(train)
 
 
-def doc_vectors(docs: DataFrame, size: int = 100, window: int = 10, iters: int = 5, seed: int = 0) -> DataFrame:
+def doc_vectors(
+    docs: DataFrame, size: int = 100, window: int = 10, iters: int = 5, seed: int = 0, negative: int = 5, sample: float | None = 1e-4,
+) -> DataFrame:
     """Document vectors: the mean of skip-gram word vectors trained on the same documents."""
-    m = Word2Vec(
-        vectorSize=size, windowSize=window, minCount=1, maxIter=iters, seed=seed, inputCol="tokens", outputCol="vector"
-    ).fit(docs)
-    return m.transform(docs)
+    return mean_vectors(docs, skip_gram(docs, size, window, iters, negative, sample, 1, seed), size)
 
 
 def context_pairs(docs: DataFrame, n: int = 5) -> DataFrame:
@@ -175,8 +174,3 @@ def context_pairs(docs: DataFrame, n: int = 5) -> DataFrame:
 def top_words(counts: DataFrame, k: int = 1000) -> DataFrame:
     """Most frequent words, ties in word order."""
     return top_rows(counts, [F.desc("n"), F.asc("word")], k)
-
-
-def permute_docs(docs: DataFrame, seed: int) -> DataFrame:
-    """Documents in a seeded random order (sorted in parallel ranges)."""
-    return docs.withColumn("_d", draw("doc_id", seed)).orderBy("_d", "doc_id").drop("_d")

@@ -172,6 +172,14 @@ def als_recommend(t):
     return O.with_names(REC.recommend(model, p, 5), V.items(t))
 
 
+@query("als_scores")
+def als_scores(t):
+    """Model scores of the validation pairs; pairs with an unknown user or item vanish."""
+    p = cut(split_plays(t))
+    model = REC.train_implicit(p.where("split = 'train'"), 10)
+    return REC.score(model, p.where("split = 'val'").select("user_id", "item_id").distinct())
+
+
 @query("named_items", WITH + """, best AS (SELECT item_id, CAST(sum(plays) AS BIGINT) AS plays FROM canon GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5)
 SELECT item_id, p_name AS name, plays FROM best JOIN part ON item_id = p_partkey""")
 def named_items(t):

@@ -193,7 +193,7 @@ def sink_graph(t):
     return R.read_adjacency(t.spark, f"{d}/adjacency")
 
 
-@query("sink_walks", PG.WALKS + f" SELECT path FROM w{PG.LENGTH - 1}")
+@query("sink_walks", PG.WALKS + " SELECT path FROM walks")
 def sink_walks(t):
     d = scratch(t.spark, "walks")
     S.write_walks(PG.walks(t), d)

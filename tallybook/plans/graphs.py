@@ -9,6 +9,7 @@ from ..operators import metrics as M
 from ..operators import series as SR
 from ..operators import snapshots as SN
 from ..operators import walks as W
+from ..session import cut
 from . import views as V
 from .registry import query
 from .views import CHAIN, RATINGS, SNAPS, sql_draw
@@ -91,39 +92,57 @@ def components(t):
 
 # ---- walks ----------------------------------------------------------------------------------------
 
-LENGTH, PATHS, ALPHA, SEED = 6, 2, 0.15, 11
+LENGTH, PATHS, ALPHA, SEED = 40, 10, 0.15, 11
+LEVELS = (LENGTH - 1).bit_length()
 
 
 def _walk_sql() -> str:
-    def move(prev: str, k: int) -> str:
-        h, back = sql_draw("w.start", "w.rep", str(k), str(SEED)), sql_draw("w.start", "w.rep", str(k), str(SEED), "'r'")
-        return f"""w{k} AS MATERIALIZED (SELECT w.start, w.rep, CASE WHEN w.back THEN w.start ELSE n.dst END AS cur,
-    w.path || ' ' || CASE WHEN w.back THEN w.start ELSE n.dst END AS path
-  FROM (SELECT w.*, d.deg, {back} / 4294967296.0 < {ALPHA} AS back, 1 + {h} % d.deg AS at FROM {prev} w JOIN deg d ON d.src = w.cur) w
-  LEFT JOIN nb n ON n.src = w.cur AND n.pos = w.at)"""
-
-    steps = ",\n".join(move(f"w{k - 1}", k) for k in range(1, LENGTH))
+    seed = str(SEED)
+    back = sql_draw("w.start", "w.rep", "k", seed, "'r'")
+
+    def merge(r: int) -> str:
+        pick = sql_draw("a.v", "a.c", "a.j", "a.i", str(r), seed, "'m'")
+        return f"""s{r} AS MATERIALIZED (SELECT a.j, a.i // 2 AS i, a.v, a.c, a.moves || ' ' || b.moves AS moves, b.e
+  FROM (SELECT a.*, 1 + {pick} % k.copies AS pick FROM s{r - 1} a JOIN cps k ON k.src = a.e AND k.j = a.j WHERE a.j >= {r} AND a.i % 2 = 0) a
+  JOIN s{r - 1} b ON b.j = a.j AND b.i = a.i + 1 AND b.v = a.e AND b.c = a.pick)"""
+
+    def stitch(j: int) -> str:
+        pick = sql_draw("p.start", "p.rep", "p.spot", str(j), seed, "'s'")
+        return f"""p{j} AS MATERIALIZED (SELECT p.start, p.rep, p.spot, p.len, coalesce(t.e, p.cur) AS cur, p.path || coalesce(' ' || t.moves, '') AS path
+  FROM (SELECT p.*, CASE WHEN (p.len >> {j}) & 1 = 1 THEN 1 + {pick} % k.copies ELSE -1 END AS pick FROM p{j + 1} p LEFT JOIN cps k ON k.src = p.cur AND k.j = {j}) p
+  LEFT JOIN s{j} t ON t.j = {j} AND t.v = p.cur AND t.c = p.pick)"""
+
     return HETERO.replace("he AS (", "he AS MATERIALIZED (") + f""",
 deg AS MATERIALIZED (SELECT src, count(*) AS deg FROM he GROUP BY 1),
 nb AS MATERIALIZED (SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY dst) AS pos FROM he),
-w0 AS MATERIALIZED (SELECT src AS start, r + 1 AS rep, src AS cur, src AS path FROM deg, range({PATHS}) x(r)),
-{steps}"""
+con AS (SELECT count(*) AS nv, CAST(sum(deg) AS BIGINT) AS flow FROM deg),
+w AS (SELECT src AS start, r AS rep FROM deg, range(1, {PATHS + 1}) x(r)),
+bk AS MATERIALIZED (SELECT start, rep, list_filter(range(1, {LENGTH}), lambda k: {back} / 4294967296.0 < {ALPHA}) AS b FROM w),
+pc AS MATERIALIZED (SELECT start, rep, spot, z - spot - 1 AS len FROM (SELECT start, rep, unnest(list_concat([0], b)) AS spot, unnest(list_concat(b, [{LENGTH}])) AS z FROM bk)),
+lv AS MATERIALIZED (SELECT j, CAST(sum((len >> j) & 1) AS BIGINT) AS d FROM pc, range({LEVELS}) x(j) GROUP BY 1),
+cps AS MATERIALIZED (SELECT src, deg, CAST(j AS BIGINT) AS j, 1 + greatest((d * deg) // flow, d // nv) AS copies FROM deg, lv, con WHERE d > 0),
+s0 AS MATERIALIZED (SELECT m.j, m.i, m.v, m.c, nb.dst AS moves, nb.dst AS e FROM (SELECT j, i, v, c, 1 + {sql_draw("v", "c", "j", "i", seed)} % deg AS pos
+  FROM (SELECT j, i, src AS v, deg, unnest(range(1, copies + 1)) AS c FROM (SELECT *, unnest(range(CAST(1 << j AS BIGINT))) AS i FROM cps))) m JOIN nb ON nb.src = m.v AND nb.pos = m.pos),
+""" + ",\n".join(merge(r) for r in range(1, LEVELS)) + f""",
+p{LEVELS} AS (SELECT *, start AS cur, start AS path FROM pc),
+""" + ",\n".join(stitch(j) for j in reversed(range(LEVELS))) + """,
+walks AS (SELECT start, CAST(rep AS BIGINT) AS rep, string_agg(path, ' ' ORDER BY spot) AS path FROM p0 GROUP BY ALL)"""
 
 
 WALKS = _walk_sql()
 
 
 def walks(t):
-    return W.random_walks(hetero(t)[1], PATHS, LENGTH, ALPHA, SEED)
+    return W.stitched_walks(hetero(t)[1], PATHS, LENGTH, ALPHA, SEED)
 
 
-@query("random_walks", WALKS + f" SELECT start, CAST(rep AS BIGINT) AS rep, path FROM w{LENGTH - 1}")
+@query("random_walks", WALKS + " SELECT start, rep, path FROM walks")
 def random_walks(t):
     return walks(t).select("start", "rep", F.concat_ws(" ", "path").alias("path"))
 
 
-@query("walk_vocab", WALKS + f""" SELECT word, CAST(count(*) AS BIGINT) AS n
-FROM (SELECT unnest(string_split(path, ' ')) AS word FROM w{LENGTH - 1}) GROUP BY 1 HAVING count(*) >= 5""")
+@query("walk_vocab", WALKS + """ SELECT word, CAST(count(*) AS BIGINT) AS n
+FROM (SELECT unnest(string_split(path, ' ')) AS word FROM walks) GROUP BY 1 HAVING count(*) >= 5""")
 def walk_vocab(t):
     return W.vocab(walks(t), 5)
 
@@ -131,9 +150,8 @@ def walk_vocab(t):
 @query("node_vectors")
 def node_vectors(t):
     """Walks, embeddings, predicted ratings of all rated pairs, metrics."""
-    model = W.node_model(walks(t), 64, 5, SEED)
-    r = G.last_ratings(V.ratings(t))
-    return M.rating_metrics(W.predict_rating(W.node_vectors(model), r))
+    vecs = cut(W.node_vectors(walks(t), 64, 5, seed=SEED))
+    return M.rating_metrics(W.predict_rating(vecs, G.last_ratings(V.ratings(t))))
 
 
 @query("predict_rating", f"""WITH {RATINGS},

@@ -8,6 +8,7 @@ from ..operators import causality as C
 from ..operators import metrics as M
 from ..operators import regression as G
 from ..operators import series as S
+from ..session import cut
 from . import views as V
 from .registry import query
 from .views import HOURLY
@@ -180,10 +181,36 @@ def ci_tests(t):
     return out.select("a", "b", F.concat_ws(",", "cond").alias("cond"), F.round("r", 6).alias("r"), F.round("z", 5).alias("z"), "independent")
 
 
+WIDE = [f"e{i:02d}" for i in range(30)]
+
+
+def wide(t):
+    """Thirty columns: the first places of the embeddings."""
+    return t.embeddings.select(*[F.get("embedding", i).cast("double").alias(c) for i, c in enumerate(WIDE)])
+
+
+@query("pc_levels", f"""WITH e AS (SELECT vec_id, 'e' || lpad(CAST(d - 1 AS VARCHAR), 2, '0') AS d, v FROM
+  (SELECT vec_id, generate_subscripts(embedding, 1) AS d, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings) WHERE d <= {len(WIDE)}),
+c AS MATERIALIZED (SELECT x.d AS a, y.d AS b, corr(x.v, y.v) AS r, count(*) AS n FROM e x JOIN e y ON y.vec_id = x.vec_id AND x.d < y.d GROUP BY ALL),
+f AS (SELECT a, b, r FROM c UNION ALL SELECT b, a, r FROM c),
+z0 AS MATERIALIZED (SELECT a, b, '' AS cond, r, sqrt(n - 3) * abs(atanh(r)) AS z FROM c),
+nb AS (SELECT a, b FROM z0 WHERE z >= 1.959963984540054 UNION ALL SELECT b, a FROM z0 WHERE z >= 1.959963984540054),
+s AS (SELECT least(p.a, p.b) AS a, greatest(p.a, p.b) AS b, q.b AS k FROM nb p JOIN nb q ON q.a = p.a AND q.b <> p.b GROUP BY ALL),
+z1 AS (SELECT s.a, s.b, k AS cond, (c.r - x.r * y.r) / sqrt((1 - x.r * x.r) * (1 - y.r * y.r)) AS r, n FROM s JOIN c ON c.a = s.a AND c.b = s.b
+  JOIN f x ON x.a = s.a AND x.b = k JOIN f y ON y.a = s.b AND y.b = k),
+z AS (SELECT a, b, cond, r, z FROM z0 UNION ALL SELECT a, b, cond, r, sqrt(n - 4) * abs(atanh(r)) FROM z1)
+SELECT a, b, cond, round(r, 6) AS r, round(z, 5) AS z, z < 1.959963984540054 AS independent FROM z""")
+def pc_levels(t):
+    """Tests of the first two levels over thirty columns."""
+    x = cut(wide(t))
+    out = C.pc_tests(C.corr_matrix(x, WIDE), x.count(), 0.05, max_cond=1)
+    return out.select("a", "b", F.concat_ws(",", "cond").alias("cond"), F.round("r", 6).alias("r"), F.round("z", 5).alias("z"), "independent")
+
+
 @query("pc_graph")
 def pc_graph(t):
     h = V.hourly(t)
-    return C.pc_graph(C.ci_tests(C.corr_matrix(h, list(NAMES)), h.count()))
+    return C.pc_graph(C.pc_tests(C.corr_matrix(h, list(NAMES)), h.count()))
 
 
 @query("lingam")

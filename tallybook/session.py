@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Shared folders of applications whose session names none (local mode only).
+_OWN_ROOTS: dict[str, str] = {}
 _STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -29,16 +31,17 @@ def get_spark(app: str = "tallybook", master: str | None = None, shuffle_partiti
 def shared_root(spark: SparkSession) -> str:
     """Folder for tables that must outlive an executor.
 
-    The cluster names it in ``spark.checkpoint.dir``. A temporary folder is only used in local mode,
-    where driver and executors share one disk.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, a temporary folder is used in local mode
+    only, where driver and executors are one process.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if root is None:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-        root = tempfile.mkdtemp(prefix="tallybook-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if sc.applicationId not in _OWN_ROOTS:
+            _OWN_ROOTS[sc.applicationId] = tempfile.mkdtemp(prefix="tallybook-")
+        root = _OWN_ROOTS[sc.applicationId]
     return f"{root}/tallybook-{sc.applicationId}"
 
 
@@ -59,11 +62,29 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+class Rolling:
+    """Cuts the state of a loop: each new table deletes the one that was cut before it."""
+
+    def __init__(self) -> None:
+        self._last: str | None = None
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        spark, path = df.sparkSession, scratch(df.sparkSession, "roll")
+        df.write.parquet(path)
+        if self._last is not None:
+            _delete(spark, self._last)
+        self._last = path
+        return spark.read.schema(df.schema).parquet(path)
+
+
 def release(spark: SparkSession) -> None:
     """Delete the tables that this application cut; call it when no frame built on them is needed."""
-    jvm, root = spark.sparkContext._jvm, shared_root(spark)
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, shared_root(spark))
 
 
 def use_rocksdb_state(spark: SparkSession) -> None:
