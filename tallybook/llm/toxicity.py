@@ -144,6 +144,11 @@ def decode(token: str, logp: np.ndarray) -> str:
     return "".join(reversed(parts))
 
 
+def is_plain(token: str, core: str) -> bool:
+    """Letters without a doubled one, and no more than one mark behind them: such a token has no spots."""
+    return core.isalpha() and (len(core) == len(token) or len(core) + 1 == len(token) and token[-1] in ".,;:!?") and not _TWICE.search(core)
+
+
 class Restorer(dict):
     """Raw lower-case token -> restored words, remembered up to a bound."""
 
@@ -155,7 +160,7 @@ class Restorer(dict):
         if len(self) > 300_000:
             self.clear()
         core = token.strip(_EDGE)
-        if _SPOTS.search(token):
+        if not is_plain(token, core) and _SPOTS.search(token):
             hidden = token.strip(".,;:?\"'")
             whole = decode(hidden, self.logp) if hidden != core and any(c in LEET for c in hidden) else core
             inner = decode(core, self.logp) if _SPOTS.search(core) else core
@@ -197,17 +202,32 @@ def _tails(joined: str) -> list[str]:
     return out
 
 
-def short_runs(tokens: list[str]) -> list[tuple[str, ...]]:
+class Cores(dict):
+    """Token -> a short token without the punctuation around it, nothing for lone punctuation, None for any other; remembered up to a bound."""
+
+    def __missing__(self, t: str) -> str | None:
+        if len(self) > 300_000:
+            self.clear()
+        core = t if len(t) == 1 else t.strip(".,;:!?\"'") if len(t) <= _SHORT + 2 else t
+        got = core if 0 < len(core) <= _SHORT else None if core or len(t) > _SHORT else ""
+        if len(t) <= _LONG:
+            self[t] = got
+        return got
+
+
+def short_runs(tokens: list[str], cores: Cores | None = None) -> list[tuple[str, ...]]:
     """Runs of two or more tokens of up to three characters, without the punctuation around them."""
     out, run = [], []
-    for t in [*tokens, "." * (_SHORT + 1)]:
-        core = t if len(t) == 1 else t.strip(".,;:!?\"'") if len(t) <= _SHORT + 2 else t
-        if 0 < len(core) <= _SHORT:
+    for core in map((Cores() if cores is None else cores).__getitem__, tokens):
+        if core is None:
+            if run:
+                if len(run) >= 2:
+                    out.append(tuple(run))
+                run = []
+        elif core:
             run.append(core)
-        elif core or len(t) > _SHORT:
-            if len(run) >= 2:
-                out.append(tuple(run))
-            run = []
+    if len(run) >= 2:
+        out.append(tuple(run))
     return out
 
 
@@ -216,16 +236,6 @@ def single_runs(run: tuple[str, ...]) -> list[tuple[str, ...]]:
     return [p for p in (tuple(g) for one, g in groupby(run, lambda t: len(t) == 1) if one) if len(p) >= 3]
 
 
-def words_of(text: str | None, restore: Restorer) -> tuple[Counter, list[tuple[str, ...]], int]:
-    """Restored words with their counts, runs of short tokens, and the number of tokens."""
-    tokens = (text or "").lower().split()
-    found: Counter = Counter()
-    for t, n in Counter(tokens).items():
-        for w in restore[t].split():
-            found[w] += n
-    return found, short_runs(tokens), len(tokens)
-
-
 def spelled(runs: list[tuple[str, ...]], restore: Restorer) -> list[str]:
     """Words in runs of three or more single characters."""
     out = []
@@ -245,7 +255,7 @@ class Lexicon(dict):
 
     def __init__(self, entries: set[str]):
         super().__init__()
-        self.entries = entries
+        self.entries, self.runs = entries, {}
 
     def __missing__(self, word: str) -> str | None:
         if len(self) > 300_000:
@@ -253,8 +263,23 @@ class Lexicon(dict):
         self[word] = got = next((f for f in features(word) if f in self.entries), None)
         return got
 
+    def holds(self, word: str) -> bool:
+        """Whether the word has an entry, without remembering it."""
+        known = self.entries
+        return len(word) >= 3 and ("=" + word in known or any(word[:k] in known for k in PREFIXES if len(word) >= k))
+
     def hits_of(self, run: tuple[str, ...], restore: Restorer) -> int:
         """Hits in words over several tokens of ``run``."""
+        if run not in self.runs:
+            if len(self.runs) > 100_000:
+                self.runs.clear()
+            got = self._hits_of(run, restore)
+            if sum(map(len, run)) > _LONG:
+                return got
+            self.runs[run] = got
+        return self.runs[run]
+
+    def _hits_of(self, run: tuple[str, ...], restore: Restorer) -> int:
         parts = single_runs(run)
         if parts == [run]:
             words, whole = restore.joined(run)
@@ -271,16 +296,40 @@ class Lexicon(dict):
         return max(inner, sum(any(self[x] for x in w) for w in restore.joined(run)[0]))
 
 
+class TokenHits(dict):
+    """Raw token -> hits among its restored words, remembered up to a bound."""
+
+    def __init__(self, restore: Restorer, lexicon: Lexicon):
+        super().__init__()
+        self.restore, self.lexicon = restore, lexicon
+
+    def __missing__(self, token: str) -> int:
+        if len(self) > 300_000:
+            self.clear()
+        core = token.strip(_EDGE)
+        got = int(self.lexicon.holds(core)) if is_plain(token, core) else sum(self.lexicon[w] is not None for w in self.restore[token].split())
+        if len(token) <= _LONG:
+            self[token] = got
+        return got
+
+
 def learn_lexicon(labelled: DataFrame, shared_lm, toxic: int, clean: int) -> set[str]:
     """Entries significant for the toxic class among ``labelled(text, y)``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restore = Restorer(shared_lm.value)
+        restore, cores, known = Restorer(shared_lm.value), Cores(), {}
         for b in batches:
             by: tuple[Counter, Counter] = (Counter(), Counter())
             for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                found, runs, _ = words_of(t, restore)
-                by[y].update({f for w in [*found, *spelled(runs, restore)] for f in features(w)})
+                tokens, found = (t or "").lower().split(), set()
+                for x in set(tokens):
+                    if x not in known:
+                        if len(known) > 200_000:
+                            known.clear()
+                        known[x] = tuple(f for w in restore[x].split() for f in features(w))
+                    found.update(known[x])
+                found.update(f for w in spelled(short_runs(tokens, cores), restore) for f in features(w))
+                by[y].update(found)
             names = list(by[0].keys() | by[1].keys())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names, pa.string()), pa.array([by[1][f] for f in names], pa.int64()), pa.array([by[0][f] for f in names], pa.int64())],
@@ -312,13 +361,14 @@ def hits(docs: DataFrame, shared, carry: list[str], text: str = "text") -> DataF
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         logp, entries = shared.value
-        restore, lexicon = Restorer(logp), Lexicon(entries)
+        restore, lexicon, cores = Restorer(logp), Lexicon(entries), Cores()
+        token_hits = TokenHits(restore, lexicon)
         for b in batches:
             n, h = [], []
             for t in b.column("_t").to_pylist():
-                words, runs, total = words_of(t, restore)
-                n.append(total)
-                h.append(sum(k for w, k in words.items() if lexicon[w]) + sum(lexicon.hits_of(r, restore) for r in runs))
+                tokens = (t or "").lower().split()
+                n.append(len(tokens))
+                h.append(sum(map(token_hits.__getitem__, tokens)) + sum(lexicon.hits_of(r, restore) for r in short_runs(tokens, cores)))
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in carry], pa.array(n, pa.int64()), pa.array(h, pa.int64())], [*carry, "n_words", "n_hits"])
 
     rows = docs.select(*[F.col(f"`{c}`") for c in carry], F.col(text).cast("string").alias("_t"))
