@@ -181,11 +181,11 @@ def compare_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     texts = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     keys = ["_range", "_row"]
     order = Window.partitionBy("_range").orderBy("_border", "_key", "text")
-    rows = in_ranges(texts, "doc_id")
-    rows = rows.select("_range", "_border", "doc_id", "text", F.row_number().over(order).alias("_row"),
-                       F.lead("text").over(order).alias("next"), F.lead("doc_id").over(order).alias("next_id"))
+    rows = in_ranges(texts, "doc_id").withColumn("a", pieces(F.col("text")))  # once for the document and for the one before it
+    rows = rows.select("_range", "_border", "doc_id", "text", "a", F.row_number().over(order).alias("_row"),
+                       *[F.lead(c).over(order).alias(name) for c, name in (("text", "next"), ("doc_id", "next_id"), ("a", "b"))])
     rows = rows.where("not _border").withColumn("n_chars", F.char_length("text").cast("bigint")).withColumn("edited", _edited())
-    rows = rows.withColumns({"a": pieces(F.col("text")), "e": pieces(F.col("edited")), "b": pieces(F.col("next"))})
+    rows = rows.withColumn("e", pieces(F.col("edited")))
     counts = [f"{c}{k}" for k in (0, 1) for c in ("d", "stuck")]
     head = rows.select(
         *keys, "doc_id", "next_id", "n_chars", F.xxhash64("text").alias("th"), F.xxhash64("next").alias("nh"),
@@ -203,6 +203,7 @@ def compare_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     fixed = None
     while open_.take(1):
         seed += 1
+        open_ = cut(open_)  # its size on disk lets the planner send it to the texts
         one = texts.select(F.col("doc_id").alias("i"), "text")
         two = texts.select(F.col("doc_id").alias("j"), F.col("text").alias("next"))
         again = open_.join(one, F.expr("i <=> doc_id and xxhash64(text) = th")).join(two, F.expr("j <=> next_id and xxhash64(next) = nh"))
