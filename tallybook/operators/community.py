@@ -177,8 +177,8 @@ def local_move(edges: DataFrame, verts: DataFrame, comm: DataFrame, alpha: float
     """Rounds of simultaneous moves that never lower the objective, until no move gains or helps.
 
     A round takes each vertex's best move, of those the ones that are harmless together. Similarities have no such bound, so a round whose
-    objective falls is taken back and tried with half as many vertices (by hash draws), at last with the best move alone. A pass of
-    the one-by-one form is up to four rounds. ``trace`` receives the objective at the start and after each round.
+    objective falls is taken back and tried with an eighth of the vertices (by hash draws), at last with the best move alone.
+    ``passes`` bounds the rounds. ``trace`` receives the objective at the start and after each round.
     """
     level = Level(edges, verts)
 
@@ -190,16 +190,16 @@ def local_move(edges: DataFrame, verts: DataFrame, comm: DataFrame, alpha: float
     comm, ties, stats, score, n = measured(comm)
     trace = trace if trace is not None else []
     trace.append(score)
-    for r in range(4 * passes):
+    for r in range(passes):
         best = best_moves(level.gains(comm, ties, stats, n, alpha))
         best = cut(best.join(comm.withColumnRenamed("comm", "cur"), "id").select("id", "cur", "comm", "gain"))
         movers = best.count()
         if not movers:
             break
-        after, t = None, 0
-        while after is None and t <= movers.bit_length():
-            few = best.where(unit("id", r, t) < 2.0**-t) if t < movers.bit_length() else best.orderBy(F.desc("gain"), "id").limit(1)
-            good = cut(harmless(level, cut(few), alpha))
+        after, t, last = None, 0, -(-movers.bit_length() // 3)
+        while after is None and t <= last:
+            few = best.where(unit("id", r, t) < 8.0**-t) if t < last else cut(best.orderBy(F.desc("gain"), "id").limit(1))
+            good = cut(harmless(level, few, alpha))
             t += 1
             if good.take(1):
                 tried = measured(cut(apply_moves(comm, good)))
@@ -268,7 +268,6 @@ def cascade(
     a = comm.select(F.col("id").alias("src"), F.col("comm").alias("ca"))
     b = comm.select(F.col("id").alias("dst"), F.col("comm").alias("cb"))
     ways = cut(both.join(a, "src").join(b, "dst").select("src", "dst", (F.col("ca") == F.col("cb")).alias("same")))
-    ways = ways.repartition("src").persist()
     n = comm.count()
     reached = cut(seeds.select("trial", "id", F.lit(1).alias("step")))
     for k in range(2, steps + 2):
@@ -283,7 +282,6 @@ def cascade(
             .join(reached.select("trial", "id"), ["trial", "id"], "left_anti")
         )
         reached = cut(reached.unionByName(hit.select("trial", "id", F.lit(k).alias("step"))))
-    ways.unpersist()
     per = reached.groupBy("trial", "step").agg(F.count("*").alias("n"))
     # every reached step counts for itself and all later ones; steps and trials are few
     later = per.select("trial", "n", F.explode(F.sequence(F.col("step"), F.lit(steps + 1))).alias("step"))

@@ -117,6 +117,17 @@ def var_fit(t):
     return _var(t).coefficients().select("equation", "term", F.round("coef", 6).alias("coef"))
 
 
+@query("var_errors", VAR + """,
+e AS (SELECT long.eq, sum((y - (my - bc * mc - bv * mv) - bc * c1 - bv * v1) ** 2) / (count(*) - 3) AS s2, count(*) AS n FROM long JOIN b USING (eq) GROUP BY 1),
+q AS (SELECT *, scc * svv - scv * scv AS d FROM b JOIN e USING (eq)),
+o AS (SELECT eq, 'click_l1' AS term, bc AS coef, sqrt(s2 / n * svv / d) AS se FROM q UNION ALL SELECT eq, 'view_l1', bv, sqrt(s2 / n * scc / d) FROM q
+  UNION ALL SELECT eq, 'const', my - bc * mc - bv * mv, sqrt(s2 / n * (1 + (mc * mc * svv - 2 * mc * mv * scv + mv * mv * scc) / d)) FROM q)
+SELECT eq AS equation, term, round(se, 6) AS se, round(coef / se, 5) AS t FROM o""")
+def var_errors(t):
+    """Standard errors and t values of the vector autoregression."""
+    return _var(t).coefficients().select("equation", "term", F.round("se", 6).alias("se"), F.round("t", 5).alias("t"))
+
+
 @query("var_residuals", VAR + """,
 r AS (SELECT t, eq, y - (my - bc * mc - bv * mv) - bc * c1 - bv * v1 AS e FROM long JOIN b USING (eq))
 SELECT t, round(max(e) FILTER (eq = 'click'), 5) AS click, round(max(e) FILTER (eq = 'view'), 5) AS view FROM r GROUP BY 1""")
@@ -137,16 +148,27 @@ def adf(t):
     return C.adf(V.hourly(t), ["click", "view"]).select("name", "n", F.round("tau", 5).alias("tau"), "stationary")
 
 
-@query("ks", """WITH u AS (SELECT value AS v, 1 AS a, 0 AS b FROM events WHERE event_type = 'click'
+KS = """WITH u AS (SELECT value AS v, 1 AS a, 0 AS b FROM events WHERE event_type = 'click'
   UNION ALL SELECT value, 0, 1 FROM events WHERE event_type = 'view'),
 h AS (SELECT v, sum(a) AS a, sum(b) AS b FROM u GROUP BY 1),
-c AS (SELECT sum(a) OVER (ORDER BY v) AS ca, sum(b) OVER (ORDER BY v) AS cb, sum(a) OVER () AS n, sum(b) OVER () AS m FROM h)
-SELECT round(max(abs(ca / n - cb / m)), 6) AS d, CAST(max(n) AS BIGINT) AS n, CAST(max(m) AS BIGINT) AS m FROM c""")
+c AS (SELECT sum(a) OVER (ORDER BY v) AS ca, sum(b) OVER (ORDER BY v) AS cb, sum(a) OVER () AS n, sum(b) OVER () AS m FROM h)"""
+
+
+@query("ks", KS + " SELECT round(max(abs(ca / n - cb / m)), 6) AS d, CAST(max(n) AS BIGINT) AS n, CAST(max(m) AS BIGINT) AS m FROM c")
 def ks(t):
     kind = lambda k: t.events.where(F.col("event_type") == k).select("value")
     return C.ks_two_sample(kind("click"), kind("view")).select(F.round("d", 6).alias("d"), "n", "m")
 
 
+@query("ks_p_value", KS + """,
+s AS (SELECT max(abs(ca / n - cb / m)) AS d, max(n) AS n, max(m) AS m FROM c)
+SELECT round(least(1.0, greatest(0.0, (SELECT sum(CASE WHEN k % 2 = 1 THEN 2.0::DOUBLE ELSE -2.0::DOUBLE END * exp(-2.0::DOUBLE * d * d * n * m / (n + m) * k * k)) FROM range(1, 101) x(k)))), 6) AS p_value FROM s""")
+def ks_p_value(t):
+    """Asymptotic p-value of the two-sample test."""
+    kind = lambda k: t.events.where(F.col("event_type") == k).select("value")
+    return C.ks_two_sample(kind("click"), kind("view")).select(F.round("p_value", 6).alias("p_value"))
+
+
 @query("ks_norm")
 def ks_norm(t):
     return C.ks_norm(_var(t).residuals(), "click")

@@ -153,6 +153,13 @@ def class_vocab(t):
     return vocab(t)
 
 
+@query("class_vocab_train", VOCAB.replace("FROM doc_words\n  WHERE", "FROM (SELECT label, unnest(tokens) AS word FROM docs WHERE split = 'train')\n  WHERE").replace(
+    "AS n_neg FROM docs)", "AS n_neg FROM docs WHERE split = 'train')") + " SELECT word, CAST(pos AS BIGINT) AS pos, CAST(neg AS BIGINT) AS neg FROM vocab")
+def class_vocab_train(t):
+    """The vocabulary of the training documents alone."""
+    return TC.select_features(V.labeled_docs(t), stopwords(t), fit_on="train")
+
+
 @query("bow_vectors", VOCAB + """,
 f AS (SELECT DISTINCT doc_id, idx FROM doc_words JOIN vidx USING (word))
 SELECT d.doc_id, label, split, CAST(count(idx) AS BIGINT) AS n_features, coalesce(string_agg(CAST(idx AS VARCHAR), ' ' ORDER BY idx), '') AS features

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.text import lexicon_tokens
+from ..operators.facts import expand
+from ..session import cut
 
 
 def lexicon_flags(pos: DataFrame, neg: DataFrame) -> DataFrame:
@@ -40,10 +42,15 @@ def polarity_counts(msgs: DataFrame, pos: DataFrame, neg: DataFrame, window: str
     if late:
         msgs = msgs.withWatermark("ts", late)
     words = msgs.select(*[c for c in msgs.columns if c != "value"], F.explode(lexicon_tokens("value")).alias("word"))
-    flags = polarity_flags(words, pos, neg)
+    keys = [] if window is None else [F.window("ts", window).alias("w")]
+    if msgs.isStreaming:  # a stream has one aggregation, so each occurrence meets the lexicon
+        sums = polarity_flags(words, pos, neg).groupBy(*keys).agg(*_sums())
+    else:  # occurrences of a word are counted first: one row a word and window meets it, however frequent
+        each = words.groupBy(*keys, "word").agg(F.count("*").alias("uses"))
+        sums = polarity_flags(each, pos, neg).groupBy(*(["w"] if keys else [])).agg(
+            F.sum(F.col("is_pos") * F.col("uses")).alias("positive"), F.sum(F.col("is_neg") * F.col("uses")).alias("negative"))
     if window is None:
-        return _unfold(flags.groupBy().agg(*_sums()), [])
-    sums = flags.groupBy(F.window("ts", window).alias("w")).agg(*_sums())
+        return _unfold(sums, [])
     return _unfold(sums.select(F.unix_timestamp("w.start").alias("start"), "positive", "negative"), ["start"])
 
 
@@ -56,7 +63,8 @@ def polarity_series(counts: DataFrame, seconds: int = 10) -> DataFrame:
     """(step, positive, negative) with 0/0 for windows without messages."""
     wide = counts.groupBy("start").pivot("polarity", ["positive", "negative"]).agg(F.sum("cnt"))
     first = counts.agg(F.min("start")).scalar()
-    spine = counts.agg(F.explode(F.sequence(F.min("start"), F.max("start"), F.lit(seconds).cast("bigint"))).alias("start"))
+    ends = counts.agg(F.min("start").alias("first"), F.max("start").alias("last"))
+    spine = expand(ends, F.floor((F.col("last") - F.col("first")) / seconds) + 1, "k").select((F.col("first") + (F.col("k") - 1) * seconds).alias("start"))
     return spine.join(wide, "start", "left").select(
         ((F.col("start") - first) / seconds).cast("bigint").alias("step"),
         F.coalesce("positive", F.lit(0)).alias("positive"), F.coalesce("negative", F.lit(0)).alias("negative"),
@@ -69,7 +77,7 @@ def record_batches(msgs: DataFrame, pos: DataFrame, neg: DataFrame, path: str, c
     ``interval=None`` drains what is available and stops. Each batch writes its own folder, so a
     repeated batch replaces itself.
     """
-    lex = lexicon_flags(pos, neg)
+    lex = cut(lexicon_flags(pos, neg))  # else each batch would build it anew
 
     def write(batch: DataFrame, batch_id: int) -> None:
         words = batch.select(F.explode(lexicon_tokens("value")).alias("word"))
