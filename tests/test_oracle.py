@@ -7,7 +7,7 @@ from tests.compare import check, connect
 
 FOLDER = "/root/testdata/sf0.001"
 # long-running model jobs are covered by their own tests on small fixtures
-SLOW = {"sac", "als_sweep", "fusion_words", "fusion_link", "node_vectors", "forecast_mse", "compare_spread", "pagerank_converged"}
+SLOW = {"sac", "sac_modularity", "sac_similarity", "als_sweep", "fusion_words", "fusion_link", "node_vectors", "forecast_mse", "compare_spread", "pagerank_converged"}
 # inputs that the smallest folder does not have
 EMPTY = {"subgraph"}
 
