@@ -2,6 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a table that is written and read again as the next one's ``docs``; it
 works on all that its predecessor kept. All but the last return the columns of ``documents``.
+
+Defined results: a null or empty text is never toxic, a duplicate or contaminated, holds no personal data, and is packed as its end id alone; a null text
+stays null until it is packed. A null doc_id is carried along, and such a row is no duplicate of another. Rows that repeat a doc_id count as one document for
+duplicates, so they go or stay together, and are packed each. Of a group of duplicates the smallest doc_id stays. Columns beyond those of ``documents`` are
+carried through all stages but the last, whatever they are called. An empty table stays empty; without labels nothing is toxic, without benchmark
+items nothing is contaminated.
 """
 
 from __future__ import annotations
