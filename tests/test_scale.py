@@ -45,3 +45,31 @@ def test_walk_segments_are_never_broadcast(spark, plans):
             assert len(r["path"]) == 12 and all(b == r["start"] or (a, b) in set(ring) for a, b in zip(r["path"], r["path"][1:]))
         carried = [p for columns, p in plans if {"moves", "path"} & set(columns)]
         assert carried and "SortMergeJoin" in "".join(carried) and not any(re.search(r"BroadcastHashJoin \[[^\]]*(cur|_c|_pos)#", p) for p in carried)
+
+
+def test_a_training_step_sums_equal_rows_without_scattered_adds():
+    rng = np.random.default_rng(0)
+    at, g = rng.integers(0, 40, 576), rng.normal(size=(576, 100)).astype(np.float32)
+    rows = rng.random((40, 101)).astype(np.float32)
+    side = lambda: SG._Side(list(range(40)), [1] * 40, [r.tobytes() for r in rows])
+    a, b = side(), side()
+
+    def scattered(s):
+        which, back = np.unique(at, return_inverse=True)
+        total = np.zeros((len(which), 100), np.float32)
+        np.add.at(total, back, g)
+        s.sums[which] += (total * total).mean(axis=1)
+        s.vec[which] += SG.RATE * total / np.sqrt(s.sums[which] + 1e-10)[:, None]
+
+    def least(f):
+        took = []
+        for _ in range(40):
+            t = time.perf_counter()
+            f()
+            took.append(time.perf_counter() - t)
+        return min(took)
+
+    a.step(at, g)
+    scattered(b)
+    assert np.allclose(a.vec, b.vec, atol=1e-6) and np.allclose(a.sums, b.sums, rtol=1e-5)
+    assert least(lambda: a.step(at, g)) < 0.85 * least(lambda: scattered(b))
