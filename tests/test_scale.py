@@ -73,3 +73,24 @@ def test_a_training_step_sums_equal_rows_without_scattered_adds():
     scattered(b)
     assert np.allclose(a.vec, b.vec, atol=1e-6) and np.allclose(a.sums, b.sums, rtol=1e-5)
     assert least(lambda: a.step(at, g)) < 0.85 * least(lambda: scattered(b))
+
+
+def test_predicted_ratings_keep_a_pair_in_one_row(spark):
+    rng = np.random.default_rng(3)
+    vecs = [(f"u{u}", rng.normal(size=4).tolist()) for u in range(6)] + [("u1", rng.normal(size=4).tolist())]  # u1 twice
+    vecs += [(f"m{m}_{r}", [0.0] * 4 if (m, r) == (2, 1) else rng.normal(size=4).tolist()) for m in range(4) for r in range(1, 6) if (m, r) != (3, 5)]
+    vecs += [("m0_4", dict(vecs)["m0_2"]), (None, [1.0] * 4)]  # equal vectors: the lower rating wins
+    pairs = [(str(u), str(m)) for u in range(6) for m in range(4)] + [("1", "2"), (None, "2"), ("9", "0")]
+    df = W.predict_rating(spark.createDataFrame(vecs, "key string, vector array<double>"), spark.createDataFrame(pairs, "user string, movie string"))
+    want = {}
+    for u, m in {p for p in pairs if p[0] and p[0] != "9"}:
+        found = []
+        for key, v in vecs:
+            for star, x in vecs:
+                if key == f"u{u}" and star and star.startswith(f"m{m}_"):
+                    n = np.linalg.norm(v) * np.linalg.norm(x)
+                    found.append((round(np.dot(v, x) / n, 12) if n else -9.0, -int(star[-1])))
+        want[u, m] = -max(found)[1]
+    got = [tuple(r) for r in df.collect()]
+    assert len(got) == len(want) and {r[:2]: r[2] for r in got} == want
+    assert "SortAggregate" not in plan(df)
