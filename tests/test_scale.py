@@ -94,3 +94,17 @@ def test_predicted_ratings_keep_a_pair_in_one_row(spark):
     got = [tuple(r) for r in df.collect()]
     assert len(got) == len(want) and {r[:2]: r[2] for r in got} == want
     assert "SortAggregate" not in plan(df)
+
+
+def test_text_windows_look_each_token_up_once(spark):
+    docs = [(1, "a b c d e f".split()), (1, "f e d c b a g h".split()), (2, "b b b b b".split()), (3, "a b".split()), (2, "b b b b b".split())]
+    df = FU.text_examples(spark.createDataFrame(docs, "doc_id long, tokens array<string>"))
+    idx = {w: i for i, w in enumerate(sorted({w for _, x in docs for w in x}))}
+    want = {}
+    for d, x in docs:
+        for p in range(len(x) - 4):
+            w = [idx[x[p + i]] for i in (2, 0, 1, 3, 4)]
+            want[d, p + 1] = [max(z) for z in zip(w, want.get((d, p + 1), w))]
+    got = {(r["doc_id"], r["pos"]): [r["center"], r["ctx_1"], r["ctx_2"], r["ctx_3"], r["ctx_4"]] for r in df.collect()}
+    assert got == want and df.columns == ["doc_id", "pos", "center", "ctx_1", "ctx_2", "ctx_3", "ctx_4"]
+    assert "posexplode(concat" not in plan(df)
