@@ -108,3 +108,14 @@ def test_text_windows_look_each_token_up_once(spark):
     got = {(r["doc_id"], r["pos"]): [r["center"], r["ctx_1"], r["ctx_2"], r["ctx_3"], r["ctx_4"]] for r in df.collect()}
     assert got == want and df.columns == ["doc_id", "pos", "center", "ctx_1", "ctx_2", "ctx_3", "ctx_4"]
     assert "posexplode(concat" not in plan(df)
+
+
+def test_tags_in_order_need_no_shuffle_of_the_candidates(spark):
+    images = spark.createDataFrame([(f"n{i}",) for i in range(40)], "name string")
+    words = spark.createDataFrame([(f"w{i}",) for i in range(9)], "word string")
+    scored = FU.with_frequent_words(images, words).withColumn("score", (F.xxhash64("name", "word") % 100) / 100.0)
+    df = FU.tags_for(scored)
+    got = [tuple(r) for r in df.collect()]
+    rows = [tuple(r) for r in scored.collect()]
+    assert len(rows) == 360 and got == sorted((r for r in rows if r[2] > 0), key=lambda r: (r[0], -r[2], r[1]))
+    assert plan(df).split("Initial Plan")[0].count("rangepartitioning") == 1
