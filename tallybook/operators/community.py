@@ -268,15 +268,21 @@ def cascade(
     a = comm.select(F.col("id").alias("src"), F.col("comm").alias("ca"))
     b = comm.select(F.col("id").alias("dst"), F.col("comm").alias("cb"))
     ways = cut(both.join(a, "src").join(b, "dst").select("src", "dst", (F.col("ca") == F.col("cb")).alias("same")))
-    n = comm.count()
+    n, trials = comm.count(), seeds.select("trial").distinct().count()
+    ends = cut(ways.select(F.col("dst").alias("id")).distinct())
     reached = cut(seeds.select("trial", "id", F.lit(1).alias("step")))
     for k in range(2, steps + 2):
+        # no coins are thrown for vertices that every trial has reached
+        everywhere = reached.groupBy("id").agg(F.countDistinct("trial").alias("_t")).where(F.col("_t") == trials)
+        free = cut(ends.join(everywhere, "id", "left_anti").withColumnRenamed("id", "dst"))
+        if not free.take(1):
+            break
         active = reached if retry else reached.where(F.col("step") == k - 1)
         turn = active.select(
             "trial", F.col("id").alias("src"), (unit("trial", F.lit(k), "id", seed, F.lit("side")) < alpha).alias("same")
         )
         hit = (
-            ways.join(turn, ["src", "same"])
+            ways.join(free, "dst", "left_semi").join(turn, ["src", "same"])
             .where(unit("trial", F.lit(k), "src", "dst", seed) < beta)
             .select("trial", F.col("dst").alias("id")).distinct()
             .join(reached.select("trial", "id"), ["trial", "id"], "left_anti")

@@ -119,3 +119,19 @@ def test_tags_in_order_need_no_shuffle_of_the_candidates(spark):
     rows = [tuple(r) for r in scored.collect()]
     assert len(rows) == 360 and got == sorted((r for r in rows if r[2] > 0), key=lambda r: (r[0], -r[2], r[1]))
     assert plan(df).split("Initial Plan")[0].count("rangepartitioning") == 1
+
+
+def test_a_spread_ends_when_all_is_reached(spark, monkeypatch):
+    edges = spark.createDataFrame([(a, b) for a in range(8) for b in range(a)] + [(20, 21)], "src long, dst long")
+    comm = spark.createDataFrame([(i, i // 20) for i in [*range(8), 20, 21]], "id long, comm long")
+    seeds = CM.seeds_per_community(comm, 3, trials=2)
+    cuts = Counter()
+
+    def counted(df):
+        cuts["n"] += 1
+        return cut(df)
+
+    monkeypatch.setattr(CM, "cut", counted)
+    got = {(r["trial"], r["step"]): r["covered"] for r in CM.cascade(edges, comm, seeds, alpha=1.0, beta=1.0, steps=12).collect()}
+    assert got == {(t, s): 2 if s == 1 else 10 for t in (0, 1) for s in range(1, 14)}
+    assert cuts["n"] < 8
