@@ -135,3 +135,22 @@ def test_a_spread_ends_when_all_is_reached(spark, monkeypatch):
     got = {(r["trial"], r["step"]): r["covered"] for r in CM.cascade(edges, comm, seeds, alpha=1.0, beta=1.0, steps=12).collect()}
     assert got == {(t, s): 2 if s == 1 else 10 for t in (0, 1) for s in range(1, 14)}
     assert cuts["n"] < 8
+
+
+def test_ranges_grow_in_number(spark, monkeypatch):
+    pids = []
+
+    def noted(df):
+        out = cut(df)
+        pids.append(out.groupBy("_pid").count().agg(F.count("*"), F.max("count")).first())
+        return out
+
+    monkeypatch.setattr(R, "cut", noted)
+    monkeypatch.setattr(R, "RANGE_ROWS", 100)
+    df = spark.range(5000).select(((F.col("id") * 7919) % 5003).alias("v"))
+    ranked = R.rank_within(df, [], [F.col("v").asc()], "i", 5000)
+    got = ranked.toPandas().sort_values("v")
+    assert (got["i"].to_numpy() == np.arange(1, 5001)).all()
+    assert pids[0][0] > 40 and pids[0][1] < 300
+    pairs = S.pair_consecutive(ranked, "i", 50)
+    assert pairs.count() == 4999 and "hashpartitioning(i" in plan(pairs)
