@@ -218,6 +218,16 @@ def test_moves_of_a_round_gain_together(spark):
         assert CM.modularity(e, moved).first()[0] > before
 
 
+def test_of_two_vertices_that_would_swap_one_moves(spark):
+    pairs = [(0, 1), (2, 3), (4, 5)]
+    e = spark.createDataFrame([(a, b, 1.0) for a, b in pairs], "src long, dst long, weight double")
+    v = CM.vertices(spark.createDataFrame([(k, [1.0, float(k)]) for k in range(6)], "id long, attrs array<double>"))
+    start = v.select("id", F.col("id").alias("comm"))
+    trace = []
+    comm = dict(map(tuple, CM.local_move(e, v, start, 1.0, 1, trace).collect()))
+    assert len(trace) == 2 and all(comm[a] == comm[b] for a, b in pairs)
+
+
 # ---- best products
 
 
