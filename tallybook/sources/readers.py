@@ -12,7 +12,7 @@ from ..functions.text import extract_ints, round_rating, strip_edge_punct, token
 def stem() -> Column:
     """Name of the scanned file, or of its folder where Spark wrote the file set as ``<name>/part-...``."""
     name = F.col("_metadata.file_name")
-    folder = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)
+    folder = F.substring_index(F.substring_index("_metadata.file_path", "/", -2), "/", 1)  # for each row, so no pattern over a whole path
     return F.when(name.startswith("part-"), folder).otherwise(name)
 
 

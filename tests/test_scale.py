@@ -15,6 +15,8 @@ from tallybook.operators import series as S
 from tallybook.operators import skipgram as SG
 from tallybook.operators import walks as W
 from tallybook.session import cut
+from tallybook.sources import readers as RD
+from tallybook.sources import sinks as SK
 
 
 def plan(df):
@@ -154,3 +156,10 @@ def test_ranges_grow_in_number(spark, monkeypatch):
     assert pids[0][0] > 40 and pids[0][1] < 300
     pairs = S.pair_consecutive(ranked, "i", 50)
     assert pairs.count() == 4999 and "hashpartitioning(i" in plan(pairs)
+
+
+def test_names_of_files_are_taken_without_a_pattern_over_the_path(spark, folder):
+    SK.write_csv(spark.createDataFrame([(1, 0.5, 0.25, 2.0)], "row_id long, a double, b double, Yi double"), f"{folder}/train1_90.csv")
+    got = RD.read_features(spark, folder, 2)
+    assert [(r["split"], r["horizon"], r["y"]) for r in got.collect()] == [("train1", 90, 2.0)]
+    assert not re.search(r"regexp_extract\([^()]*file_path", got._jdf.queryExecution().optimizedPlan().toString())
