@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallybook.operators import community as CM
 from tallybook.operators import fusion as FU
+from tallybook.operators import graph as GR
 from tallybook.operators import ordering as R
 from tallybook.operators import series as S
 from tallybook.operators import skipgram as SG
@@ -163,3 +164,19 @@ def test_names_of_files_are_taken_without_a_pattern_over_the_path(spark, folder)
     got = RD.read_features(spark, folder, 2)
     assert [(r["split"], r["horizon"], r["y"]) for r in got.collect()] == [("train1", 90, 2.0)]
     assert not re.search(r"regexp_extract\([^()]*file_path", got._jdf.queryExecution().optimizedPlan().toString())
+
+
+def test_ranks_need_no_window_over_the_rows(spark):
+    rows = [(k % 3 if k % 7 else None, (k * 37) % 101) for k in range(101)]
+    df = spark.createDataFrame(rows, "k long, v long").repartition(5)
+    ranked = R.rank_within(df, ["k"], [F.col("v").asc()])
+    want = {(k, v): 1 + sum(a == k and b < v for a, b in rows) for k, v in rows if k is not None}
+    assert {(r["k"], r["v"]): r["rank"] for r in ranked.collect()} == want
+    assert "Window" not in plan(ranked) and "Window" not in plan(R.rank_within(df, [], [F.col("v").asc()]))
+
+
+def test_both_directions_come_from_pairs_in_one_order(spark):
+    e = spark.createDataFrame([("a", "b"), ("b", "a"), ("a", "b"), ("c", "c"), ("c", None), (None, None), ("d", "a")], "src string, dst string")
+    both = GR.undirected(e)
+    assert sorted(map(tuple, both.collect())) == [("a", "b"), ("a", "d"), ("b", "a"), ("d", "a")]
+    assert "Union" not in plan(both)
