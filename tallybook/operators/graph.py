@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import round_rating
 from ..session import cut
 from .facts import union_all
+from .ordering import ranges_for
 
 
 def swapped(edges: DataFrame) -> DataFrame:
@@ -73,8 +74,13 @@ def link_dims(movies: DataFrame, dim: DataFrame) -> DataFrame:
     return dim.join(movies.select("movie").distinct(), "movie", "left_semi")
 
 
-def last_ratings(lines: DataFrame) -> DataFrame:
-    """(user, movie, rating): rounded half away from zero, the last line of a pair wins."""
+def last_ratings(lines: DataFrame, rows: int | None = None) -> DataFrame:
+    """(user, movie, rating): rounded half away from zero, the last line of a pair wins.
+
+    ``rows``, the number of lines: they are then grouped in parts that grow in number, not in size.
+    """
+    if rows is not None:
+        lines = lines.repartition(ranges_for(lines, rows), "user", "movie")
     return lines.groupBy("user", "movie").agg(round_rating(F.max_by("rating", "line_no")).alias("rating"))
 
 

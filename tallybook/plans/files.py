@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import facts as O
 from ..operators import graph as G
 from ..operators import textclass as TC
+from ..operators.ordering import ranges_for
 from ..session import scratch
 from ..sources import messages as MSG
 from ..sources import readers as R
@@ -178,8 +179,12 @@ def src_movie_dims(t):
 def src_ratings(t):
     """Rating lines in file order; the last line of a pair wins."""
     d = scratch(t.spark, "ratings")
-    V.ratings(t).orderBy("line_no").select("user", "movie", "rating").write.option("header", True).option("sep", "\t").csv(d)
-    return G.last_ratings(R.read_ratings(t.spark, d)).select(
+    n = t.lineitem.count()  # from the files' footers
+    lines = V.ratings(t)
+    # ranges of lines grow in number, not in size
+    ordered = lines.repartitionByRange(ranges_for(lines, n), "line_no").sortWithinPartitions("line_no")
+    ordered.select("user", "movie", "rating").write.option("header", True).option("sep", "\t").csv(d)
+    return G.last_ratings(R.read_ratings(t.spark, d), n).select(
         F.concat(F.lit("u"), "user").alias("user"), F.concat(F.lit("m"), "movie").alias("movie"), "rating"
     )
 
