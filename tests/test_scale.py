@@ -180,3 +180,19 @@ def test_both_directions_come_from_pairs_in_one_order(spark):
     both = GR.undirected(e)
     assert sorted(map(tuple, both.collect())) == [("a", "b"), ("a", "d"), ("b", "a"), ("d", "a")]
     assert "Union" not in plan(both)
+
+
+def parts_of(df):
+    return df.select(F.spark_partition_id().alias("p")).distinct().count()
+
+
+def test_parts_of_tags_and_lines_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(R, "RANGE_ROWS", 10)
+    tags = spark.createDataFrame([(f"i{k}", [f"w{j}" for j in range(k, k + 9)]) for k in range(40)], "name string, tags array<string>")
+    hot = FU.multi_hot(tags)
+    words = sorted({f"w{j}" for k in range(40) for j in range(k, k + 9)})
+    assert {r["name"]: r["features"] for r in hot.collect()} == {f"i{k}": sorted(words.index(f"w{j}") for j in range(k, k + 9)) for k in range(40)}
+    assert parts_of(FU.tag_rows(tags)) > 12 and parts_of(hot) > 12
+    lines = spark.createDataFrame([(f"u{k}", f"m{k % 7}", float(k % 5), i) for k in range(200) for i in (1, 2)], "user string, movie string, rating double, line_no int")
+    last = GR.last_ratings(lines, 400)
+    assert last.count() == 200 and parts_of(last) > 12
