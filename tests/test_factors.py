@@ -294,3 +294,36 @@ def test_a_local_session_without_a_shared_folder_cuts(folder):
     env = {k: v for k, v in os.environ.items() if k != "PYSPARK_SUBMIT_ARGS"} | {"SPARK_CONF_DIR": folder, "PYTHONPATH": os.getcwd()}
     done = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=180)
     assert "rows 3" in done.stdout, done.stderr[-1500:]
+
+
+def test_a_product_moves_rare_rows_once(spark, monkeypatch):
+    monkeypatch.setattr(FA, "FREQUENT", 5)
+    rng = np.random.default_rng(8)
+    a = np.where(rng.random((30, 40)) < np.linspace(0.9, 0.05, 40), rng.normal(size=(30, 40)), 0)
+    entries = spark.createDataFrame([(int(i), int(j), float(a[i, j])) for i, j in zip(*np.nonzero(a), strict=True)], "i long, j long, v double")
+    x = rng.normal(size=(40, 3))
+    rows = spark.createDataFrame([(k, bytearray(x[k].tobytes())) for k in range(40)], "id long, vec binary")
+    for flipped in (False, True):
+        m, y = (a.T, x[:30]) if flipped else (a, x)
+        matrix = FA.dealt(entries, 4, flipped)
+        held = rows.where(F.col("id") < len(y))
+        assert matrix.placed(held).count() == 4 * 5 + len(y) - 5
+        assert dense(FA.multiply(matrix, held), {i: i for i in range(len(m))}, 3) == pytest.approx(m @ y)
+
+
+def test_link_model_by_groups_of_a_word(spark, monkeypatch):
+    rng = random.Random(9)
+    images = spark.createDataFrame([(f"i{k}", [rng.uniform(-1, 1) for _ in range(3)]) for k in range(12)], "name string, vector array<float>")
+    words = spark.createDataFrame([(f"w{k}", [rng.uniform(-1, 1) for _ in range(5)]) for k in range(4)], "word string, vector array<double>")
+    pairs = spark.createDataFrame([(f"i{i}", f"w{w}", 1.0 if (i + w) % 3 else -1.0) for i in range(12) for w in range(4)], "name string, word string, e double")
+    many = FU._by_word(pairs, images, words)
+    assert many.count() == 4  # a word's vector is held once for all its pairs
+    one = FU.fit_link(pairs, images, words, k=8, iters=5, seed=2)
+    monkeypatch.setattr(FU, "GROUP", 3)
+    assert FU._by_word(pairs, images, words).count() > 4
+    two = FU.fit_link(pairs, images, words, k=8, iters=5, seed=2)
+    assert two.image == pytest.approx(one.image) and two.word == pytest.approx(one.word)
+    iv, wv = ({r[0]: np.array(r[1]) for r in d.collect()} for d in (images, words))
+    for model in (one, FU.LinkModel(one.image[:, :2], one.word[:, :2])):  # a common space that is wider, and one that is narrower than images
+        for r in FU.score_link(model, pairs, images, words).collect():
+            assert r["score"] == pytest.approx((iv[r["name"]] @ model.image) @ (wv[r["word"]] @ model.word))
