@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.text import round_rating
 from ..session import cut
 from .facts import union_all
-from .ordering import ranges_for
+from .ordering import dense_index, ranges_for
 
 
 def swapped(edges: DataFrame) -> DataFrame:
@@ -120,10 +121,17 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates two star steps: every vertex hands its larger neighbours, then its smaller ones, to the
     smallest vertex it knows. The edge table shrinks to one star per component in a logarithmic
-    number of rounds; each round is two aggregations and two joins.
+    number of rounds; each round is two aggregations and two joins. Texts are numbered in their order
+    first, so that rounds move and compare numbers.
     """
+    edges = cut(edges.select("src", "dst"))
     vertices = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
-    e = cut(edges.where("src <> dst").select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct())
+    e, numbers = edges.where("src <> dst"), None
+    if edges.schema["src"].dataType == edges.schema["dst"].dataType == StringType():
+        numbers = cut(dense_index(vertices.where("id IS NOT NULL"), "id", "n"))
+        a, b = numbers.toDF("src", "a"), numbers.toDF("dst", "b")
+        e = e.join(a, "src").join(b, "dst").select(F.col("a").alias("src"), F.col("b").alias("dst"))
+    e = cut(e.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct())
     last = None
     while True:
         both = e.unionByName(swapped(e))
@@ -138,6 +146,8 @@ def components(edges: DataFrame) -> DataFrame:
             break
         last = sig
     root = e.select(F.col("src").alias("id"), F.col("dst").alias("comp"))
+    if numbers is not None:
+        root = root.join(numbers.toDF("_id", "id"), "id").join(numbers.toDF("_comp", "comp"), "comp").select(F.col("_id").alias("id"), F.col("_comp").alias("comp"))
     return vertices.join(root, "id", "left").select("id", F.coalesce("comp", "id").alias("comp"))
 
 

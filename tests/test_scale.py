@@ -196,3 +196,17 @@ def test_parts_of_tags_and_lines_grow_with_the_rows(spark, monkeypatch):
     lines = spark.createDataFrame([(f"u{k}", f"m{k % 7}", float(k % 5), i) for k in range(200) for i in (1, 2)], "user string, movie string, rating double, line_no int")
     last = GR.last_ratings(lines, 400)
     assert last.count() == 200 and parts_of(last) > 12
+
+
+def test_components_of_texts_move_numbers(spark, monkeypatch):
+    from tallybook.operators import graph as G
+
+    written, real = [], G.cut
+    monkeypatch.setattr(G, "cut", lambda df: written.append(dict(df.dtypes)) or real(df))
+    rows = [("k:b", "a:2"), ("k:a", "a:2"), ("k:a", "a:10"), ("k:c", "a:3"), ("x", "x"), ("y", None), ("z", "k:c"), ("k:b", "a:2")]
+    got = G.components(spark.createDataFrame(rows, "src string, dst string"))
+    near = {"a:10": ["k:b", "k:a", "a:2", "a:10"], "a:3": ["k:c", "a:3", "z"], "x": ["x"], "y": ["y"], None: [None]}
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(((v, c) for c, vs in near.items() for v in vs), key=str)
+    assert all(kinds["src"] == "bigint" for kinds in written[2:])
+    numbers = G.components(spark.createDataFrame([(3, 1), (5, 3), (8, 9), (4, 4)], "src long, dst long"))
+    assert sorted(map(tuple, numbers.collect())) == [(1, 1), (3, 1), (4, 4), (5, 1), (8, 8), (9, 8)]
