@@ -169,6 +169,11 @@ def _plain_maps(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
+def _texts_of(texts: DataFrame, ends: DataFrame) -> DataFrame:
+    """(i, h, text) of the ``texts(doc_id, text)`` that ``ends(i, h)`` name by id and digest, written: what follows moves these texts only."""
+    return cut(texts.join(ends.distinct(), F.expr("i <=> doc_id and h = xxhash64(text)")).select("i", "h", "text").dropDuplicates(["i", "h"]))
+
+
 def _edited() -> Column:
     return F.expr("concat(substring(text, 1, int(n_chars - n_chars div 2)), substring(next, 1, int(n_chars div 2)))")
 
@@ -204,9 +209,9 @@ def compare_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     while open_.take(1):
         seed += 1
         open_ = cut(open_)  # its size on disk lets the planner send it to the texts
-        one = texts.select(F.col("doc_id").alias("i"), "text")
-        two = texts.select(F.col("doc_id").alias("j"), F.col("text").alias("next"))
-        again = open_.join(one, F.expr("i <=> doc_id and xxhash64(text) = th")).join(two, F.expr("j <=> next_id and xxhash64(next) = nh"))
+        found = _texts_of(texts, open_.select(F.col("doc_id").alias("i"), F.col("th").alias("h")).union(open_.select("next_id", "nh")))
+        one, two = found, found.select(F.col("i").alias("j"), F.col("h").alias("g"), F.col("text").alias("next"))
+        again = open_.join(one, F.expr("i <=> doc_id and h = th")).join(two, F.expr("j <=> next_id and g = nh"))
         again = again.dropDuplicates(keys).withColumn("edited", _edited())
         again = again.withColumns({"a": pieces(F.col("text")), "e": pieces(F.col("edited")), "b": pieces(F.col("next"))})
         with _plain_maps(docs.sparkSession):

@@ -123,6 +123,14 @@ def test_fingerprints_equal_jaccard(spark, docs, texts):
         assert seen.setdefault(t, r["fingerprint"]) == r["fingerprint"] and seen.setdefault(e, r["edited_fingerprint"]) == r["edited_fingerprint"]
 
 
+def test_stuck_pairs_move_only_their_texts(spark):
+    rows = [(1, "a"), (1, "a"), (1, "b"), (2, "a"), (None, "c"), (3, "d")]
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    ends = texts.where("text in ('b', 'c') or doc_id = 2 or text = 'a' and doc_id = 1").selectExpr("doc_id as i", "xxhash64(text) as h")
+    got = fingerprints._texts_of(texts, ends).select("i", "text").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(1, "a"), (1, "b"), (2, "a"), (None, "c")], key=str)
+
+
 def test_fingerprints_retry_when_stuck(spark, docs, texts, monkeypatch):
     want = {r["doc_id"]: (r["near_edited"], r["near_next"]) for r in fingerprints.compare_edits(docs).collect()}
     monkeypatch.setattr(fingerprints, "PEELS", 4)  # too few steps for most, so that they are sketched larger
