@@ -183,7 +183,9 @@ def compare_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 
     The edited text has the last floor(n_chars / 2) code points replaced by the first as many of the next document by doc_id.
     """
-    texts = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    # a column that needs no new name or type gets none: the planner drops it from one of two branches, which then shuffle the texts each for itself
+    ids = F.col(doc_id) if (doc_id, "bigint") in docs.dtypes and doc_id == "doc_id" else F.col(doc_id).cast("bigint").alias("doc_id")
+    texts = docs.select(ids, F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     keys = ["_range", "_row"]
     order = Window.partitionBy("_range").orderBy("_border", "_key", "text")
     rows = in_ranges(texts, "doc_id")

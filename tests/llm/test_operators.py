@@ -123,6 +123,24 @@ def test_fingerprints_equal_jaccard(spark, docs, texts):
         assert seen.setdefault(t, r["fingerprint"]) == r["fingerprint"] and seen.setdefault(e, r["edited_fingerprint"]) == r["edited_fingerprint"]
 
 
+def test_fingerprints_shuffle_texts_once(spark, docs, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    def first_cut(df):
+        raise Seen(df._jdf.queryExecution().executedPlan().toString())
+
+    monkeypatch.setattr(fingerprints, "cut", first_cut)
+    monkeypatch.setattr(fingerprints, "PEELS", 1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with pytest.raises(Seen) as plan:
+            fingerprints.compare_edits(docs)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "ReusedExchange" in str(plan.value) and str(plan.value).count("REPARTITION_BY_NUM") == 2  # the second one names the first
+
+
 def test_stuck_pairs_move_only_their_texts(spark):
     rows = [(1, "a"), (1, "a"), (1, "b"), (2, "a"), (None, "c"), (3, "d")]
     texts = spark.createDataFrame(rows, "doc_id long, text string")
