@@ -68,13 +68,17 @@ def degrees(edges: DataFrame) -> DataFrame:
 
 
 class Level:
-    """What stays fixed while communities change: both edge directions, vertices with degree, total weight."""
+    """What stays fixed while communities change: both edge directions, vertices with degree, total weight.
 
-    def __init__(self, edges: DataFrame, verts: DataFrame):
+    ``ids(id)``: the vertices whose ties are asked for; edges that leave from others are not kept. Degrees and the total weight are those of all edges.
+    """
+
+    def __init__(self, edges: DataFrame, verts: DataFrame, ids: DataFrame | None = None):
         self.dims = _dims(verts)
         self.m = edges.agg(F.sum("weight")).first()[0] or 0.0
         e = edges.where("src <> dst").select("src", "dst", "weight")
-        self.both = cut(e.unionByName(swapped(e)).withColumnRenamed("src", "id"))
+        both = e.unionByName(swapped(e)).withColumnRenamed("src", "id")
+        self.both = cut(both if ids is None else both.join(ids.select("id").distinct(), "id", "left_semi"))
         loops = edges.where("src = dst").groupBy(F.col("src").alias("id")).agg(F.sum("weight").alias("loop"))
         self.verts = cut(
             verts.join(degrees(edges), "id", "left").join(loops, "id", "left").fillna(0.0, ["k", "loop"])
@@ -85,13 +89,15 @@ class Level:
         """(id, comm, w): weight between a vertex and each community next to it."""
         return self.both.join(comm.select(F.col("id").alias("dst"), "comm"), "dst").groupBy("id", "comm").agg(F.sum("weight").alias("w"))
 
-    def stats(self, comm: DataFrame, ties: DataFrame) -> DataFrame:
-        """One row per community: degree, inner weight, size, members, attribute sum."""
-        inner = ties.join(comm, ["id", "comm"]).groupBy("comm").agg((F.sum("w") / 2).alias("inner"))
+    def stats(self, comm: DataFrame, ties: DataFrame | None) -> DataFrame:
+        """One row per community: degree, inner weight, size, members, attribute sum. Without ``ties`` the inner weight is that of loops."""
         own = self.verts.join(comm, "id").groupBy("comm").agg(
             F.sum("k").alias("deg"), F.sum("loop").alias("loops"), F.sum("size").alias("csize"), F.count("*").alias("members"),
             _vec_sum(self.dims).alias("cvec"),
         )
+        if ties is None:
+            return own.select("comm", "deg", "csize", "members", "cvec", F.col("loops").alias("inside"))
+        inner = ties.join(comm, ["id", "comm"]).groupBy("comm").agg((F.sum("w") / 2).alias("inner"))
         return own.join(inner, "comm", "left").select(
             "comm", "deg", "csize", "members", "cvec", (F.coalesce("inner", F.lit(0.0)) + F.col("loops")).alias("inside")
         )
@@ -107,17 +113,19 @@ class Level:
     def gains(self, comm: DataFrame, ties: DataFrame, stats: DataFrame, n: int, alpha: float) -> DataFrame:
         """(id, cur, comm, dq, ds, gain) per vertex and neighbouring community."""
         m = self.m
-        me = self.verts.join(comm.withColumnRenamed("comm", "cur"), "id")
+        # what needs no pair is computed once per vertex and community
+        me = self.verts.withColumn("norm", norm2("vec")).join(comm.withColumnRenamed("comm", "cur"), "id")
+        there = stats.select("comm", "deg", "csize", "cvec", norm2("cvec").alias("cnorm"), mean_similarity(F.col("cvec"), F.col("csize")).alias("csim"))
         home = stats.select(F.col("comm").alias("cur"), F.col("deg").alias("deg_cur"), F.col("members").alias("members_cur"))
         own = ties.join(comm, ["id", "comm"]).select("id", F.col("w").alias("w_cur"))
         c = (
             ties.join(me.join(home, "cur").join(own, "id", "left").fillna(0.0, ["w_cur"]), "id")
-            .where("comm <> cur").join(stats.select("comm", "deg", "csize", "cvec"), "comm")
+            .where("comm <> cur").join(there, "comm")
         )
         dq = (F.col("w") - F.col("w_cur")) / m - F.col("k") * (F.col("deg") - F.col("deg_cur") + F.col("k")) / (2 * m * m)
         size = F.col("csize") + F.col("size")
-        merged = norm2("cvec") + 2 * dot("cvec", "vec") + norm2("vec")
-        ds = F.when(size > 1, (merged - size) / (size * (size - 1))).otherwise(0.0) - mean_similarity(F.col("cvec"), F.col("csize"))
+        merged = F.col("cnorm") + 2 * dot("cvec", "vec") + F.col("norm")
+        ds = F.when(size > 1, (merged - size) / (size * (size - 1))).otherwise(0.0) - F.col("csim")
         after = F.lit(n) - F.when(F.col("members_cur") == 1, 1).otherwise(0)
         out = c.select("id", "cur", "comm", dq.alias("dq"), ds.alias("ds"), after.alias("after"))
         gain = F.col("dq") if alpha == 1 else alpha * F.col("dq") + (1 - alpha) * F.col("ds") / F.pow("after", 2)
@@ -130,10 +138,9 @@ def move_gain(edges: DataFrame, verts: DataFrame, comm: DataFrame, alpha: float)
     gain = alpha * change of modularity + (1 - alpha) * change of the target's similarity / C^2, where C is
     the number of communities after the move. Both changes are closed forms of community sums.
     """
-    level = Level(edges, verts)
-    ties = cut(level.ties(comm))
-    stats = cut(level.stats(comm, ties))
-    return level.gains(comm, ties, stats, stats.count(), alpha)
+    level = Level(cut(edges), verts, verts)
+    stats = cut(level.stats(comm, None))  # inner weights play no part in a gain
+    return level.gains(comm, cut(level.ties(comm)), stats, stats.count(), alpha)
 
 
 def best_moves(gains: DataFrame, down: bool | None = None) -> DataFrame:

@@ -218,6 +218,22 @@ def test_moves_of_a_round_gain_together(spark):
         assert CM.modularity(e, moved).first()[0] > before
 
 
+def test_move_gain_reads_its_edges_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(x):
+        read.add(1)
+        return x
+
+    e = spark.createDataFrame([(0, 1, 1.0), (1, 2, 2.0), (2, 3, 1.0), (3, 9, 5.0)], "src long, dst long, weight double")
+    e = e.withColumn("weight", F.udf(seen, "double")("weight"))
+    v = CM.vertices(spark.createDataFrame([(k, [1.0, float(k)]) for k in range(4)], "id long, attrs array<double>"))
+    comm = spark.createDataFrame([(0, 0), (1, 0), (2, 1), (3, 1), (9, 2)], "id long, comm long")
+    got = {(r["id"], r["comm"]): r["dq"] for r in CM.move_gain(e, v, comm, 0.5).collect()}
+    assert read.value == 4 and set(got) == {(1, 1), (2, 0)}  # vertex 9 has no attributes
+    assert got[1, 1] == pytest.approx((2 - 1) / 9 - 3 * (9 - 4 + 3) / (2 * 81))  # degrees 1, 3, 3, 6 of the four, m = 9
+
+
 def test_of_two_vertices_that_would_swap_one_moves(spark):
     pairs = [(0, 1), (2, 3), (4, 5)]
     e = spark.createDataFrame([(a, b, 1.0) for a, b in pairs], "src long, dst long, weight double")
