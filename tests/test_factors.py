@@ -218,6 +218,21 @@ def test_moves_of_a_round_gain_together(spark):
         assert CM.modularity(e, moved).first()[0] > before
 
 
+def test_ties_are_made_once_a_round_under_similarity_alone(spark, monkeypatch):
+    rng = random.Random(5)
+    edges = [(a, b, 1.0) for a in range(24) for b in range(a + 1, 24) if rng.random() < 0.4]
+    e = spark.createDataFrame([*edges, (3, 99, 1.0), (98, 99, 1.0)], "src long, dst long, weight double")
+    v = CM.vertices(spark.createDataFrame([(k, [rng.random() - 0.5 for _ in range(3)]) for k in range(24)], "id long, attrs array<double>"))
+    made, ties = [], CM.Level.ties
+    monkeypatch.setattr(CM.Level, "ties", lambda level, comm: made.append(level) or ties(level, comm))
+    trace = []
+    comm = CM.local_move(e, v, v.select("id", F.col("id").alias("comm")), 0.0, 6, trace)
+    assert len(trace) > 2 and len(made) <= len(trace)
+    assert made[0].both.select("id").distinct().count() == 24  # of edges between others none is kept
+    parts = CM.community_similarity(v, comm).agg(F.avg("similarity"), F.count("*")).first()
+    assert trace[-1] == pytest.approx(parts[0] / parts[1])
+
+
 def test_move_gain_reads_its_edges_once(spark):
     read = spark.sparkContext.accumulator(0)
 
