@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tallybook.llm import (
     chat, decontaminate, fingerprints, lm_score, near_dedup, packing, pii, sharding, toxicity, url_filter,
 )
+from tallybook.session import cut
 
 DOCS = "doc_id bigint, text string, lang string, n int"
 
@@ -312,6 +313,21 @@ def test_url_rules_and_models(spark):
     assert {r["verdict"] for r in url_filter.filter_urls(table.where(f"page_id >= {n}")).collect()} == {"allow"}
 
 
+def test_url_grams_never_go_through_the_driver(spark, monkeypatch):
+    seen = []
+
+    def noted(df):
+        seen.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+
+    monkeypatch.setattr(url_filter, "cut", noted)
+    urls = [f"https://a{k % 5}.{('example.net/en', 'net/x', 'example.info')[k % 3]}/{k % 7}" for k in range(60)]
+    got = url_filter.filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string"))
+    seen.append(got._jdf.queryExecution().executedPlan().toString())
+    assert not any("Broadcast" in p for p in seen) and max(p.count("Join") for p in seen) <= 3
+    assert got.count() == 60
+
+
 # ---- op7
 
 
