@@ -50,6 +50,22 @@ def test_walk_segments_are_never_broadcast(spark, plans):
         assert carried and "SortMergeJoin" in "".join(carried) and not any(re.search(r"BroadcastHashJoin \[[^\]]*(cur|_c|_pos)#", p) for p in carried)
 
 
+def test_walks_write_no_segment_that_no_piece_walks(spark, monkeypatch):
+    rows = []
+
+    def noted(df):
+        out = cut(df)
+        rows.append((out.columns, out.count()))
+        return out
+
+    monkeypatch.setattr(W, "cut", noted)
+    ring = [(i, (i + d) % 12) for i in range(12) for d in (1, 11, 5, 7)]
+    e = spark.createDataFrame(ring, "src long, dst long")
+    got = W.stitched_walks(e, 3, 12, 0.2, 4).collect()
+    pieces = next(n for columns, n in rows if "len" in columns and "path" not in columns)
+    assert len(got) == 36 and max(n for columns, n in rows if {"moves", "path"} & set(columns)) <= pieces
+
+
 def test_a_training_step_sums_equal_rows_without_scattered_adds():
     rng = np.random.default_rng(0)
     at, g = rng.integers(0, 40, 576), rng.normal(size=(576, 100)).astype(np.float32)
